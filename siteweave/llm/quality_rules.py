@@ -28,7 +28,7 @@ RATIOS = {
     "q_word_length": ("both", 3.0),
     "q_symbols": ("upper", 0.25),
     "q_dup_lines": ("upper", 0.30),
-    "q_repeats": ("upper", 0.10),
+    "q_repeats": ("upper", 0.20),
     "q_capitals": ("upper", 0.30),
     "q_shouts": ("upper", 0.30),
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, url_filters
+from . import byte_bpe, media, quality_rules, secret_scan, url_filters
 from .common import table
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
@@ -23,9 +23,27 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.encoding_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+def op10_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.features(media.store_texts(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op6_quality_rules": op6_quality_rules,
+    "op7_secret_scans": op7_secret_scans,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_media_ogg": op10_media_ogg,
 }
 
 _OP1_SQL = r"""
@@ -83,7 +101,7 @@ WITH base AS (
   FROM counts
 ), long AS (
   SELECT lang, source, q, v, s FROM (SELECT lang, source, unnest([1, 2, 3, 4, 5, 6]) AS q, unnest([q1, q2, q3, q4, q5, q6]) AS v,
-    unnest([3.0, 0.25, 0.30, 0.10, 0.30, 0.30]) AS s FROM ratios WHERE NOT base_failed)
+    unnest([3.0, 0.25, 0.30, 0.20, 0.30, 0.30]) AS s FROM ratios WHERE NOT base_failed)
 ), quarts AS (
   SELECT GROUPING(lang) AS gl, GROUPING(source) AS gs, lang, source, q, any_value(s) AS s, count(*) AS n,
     quantile_disc(v, 0.25) AS a, quantile_disc(v, 0.75) AS b FROM long GROUP BY GROUPING SETS ((lang, source, q), (lang, q), (q))
