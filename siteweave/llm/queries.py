@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, media, quality_rules, secret_scan, url_filters
+from . import byte_bpe, media, packing, quality_rules, secret_scan, token_files, url_filters
 from .common import table
+from .tokens import word_tokenizer_path
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -18,6 +19,11 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer_path(), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.adaptive_filter(table(spark, sf_dir, "documents"), carry=("doc_id",))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -27,6 +33,12 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = token_files.write(table(spark, sf_dir, "documents"), word_tokenizer_path(), end_id=2, vocabulary=49_408)
+    found = token_files.read(store, token_files.locate(store, store.manifest.select("doc_id", "occurrence")))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -40,8 +52,10 @@ def op10_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op4_packing": op4_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scans": op7_secret_scans,
+    "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_media_ogg": op10_media_ogg,
 }

@@ -118,6 +118,6 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFrame |
     decided = joined.groupBy("component").agg(F.max("blocked").alias("blocked"), F.max("allowed").alias("allowed"))
     shut = materialize(decided.where("blocked and not coalesce(allowed, false)").select(F.col("component").alias("_shut")), "blocked")
     out = df.join(comps.withColumnRenamed("node", "_key"), "_key", "left").withColumn("component", F.coalesce("component", "_key"))
-    out = out.join(small_side(shut), F.col("component") == F.col("_shut"), "left")
+    out = out.join(small_side(shut, 200_000), F.col("component") == F.col("_shut"), "left")
     verdict = F.coalesce("rule_verdict", F.when(F.col("_shut").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
     return out.withColumn("verdict", verdict).drop("_key", "_shut", "rule_verdict")
