@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, media, packing, quality_rules, secret_scan, token_files, url_filters
+from . import byte_bpe, line_dedup, media, ngram_join, packing, quality_rules, secret_scan, token_files, url_filters
 from .common import table
 from .tokens import word_tokenizer_path
 
@@ -19,11 +19,19 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_components(table(spark, sf_dir, "documents"), ngram_join.JoinParams(words=3, percent=90))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer_path(), end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.adaptive_filter(table(spark, sf_dir, "documents"), carry=("doc_id",))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -52,7 +60,9 @@ def op10_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op3_ngram_join": op3_ngram_join,
     "op4_packing": op4_packing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scans": op7_secret_scans,
     "op8_token_files": op8_token_files,
@@ -134,4 +144,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM beyond) AS kept FROM ratios
 """
 
-ORACLES: dict[str, str] = {"op1_url_filters": _OP1_SQL, "op6_quality_rules": _OP6_SQL}
+_OP5_SQL = r"""
+WITH lined AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
+), wins AS (
+  SELECT doc_id, p, list_slice(ls, p, p + 2) AS w FROM (SELECT doc_id, ls, unnest(range(1, len(ls) - 1)) AS p FROM lined WHERE len(ls) >= 3)
+), placed AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS r FROM wins WHERE regexp_matches(array_to_string(w, ' '), '[^\x20\x09-\x0D]')
+), covered AS (
+  SELECT DISTINCT doc_id, p + o AS p FROM placed, unnest(range(3)) AS u(o) WHERE r > 1
+), gone AS (SELECT doc_id, list(p) AS ps FROM covered GROUP BY doc_id)
+SELECT doc_id, CASE WHEN ps IS NULL THEN text ELSE array_to_string(list_filter(ls, lambda l, i: NOT list_contains(ps, i)), chr(10)) END AS text,
+  coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(ps), 0)::BIGINT AS n_removed FROM lined LEFT JOIN gone USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_url_filters": _OP1_SQL, "op5_line_dedup": _OP5_SQL, "op6_quality_rules": _OP6_SQL}
