@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, line_dedup, media, ngram_join, packing, quality_rules, secret_scan, token_files, url_filters
+from . import byte_bpe, line_dedup, media, ngram_join, packing, quality_rules, secret_scan, token_files, url_filters, warc
 from .common import table
 from .tokens import word_tokenizer_path
 
@@ -19,6 +19,14 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    archive = warc.write(pages)
+    wanted = pages.select(warc.capture_key(F.col("url"), F.col("page_id")).alias("request"))
+    records = warc.read(archive, warc.locate(archive, wanted))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_components(table(spark, sf_dir, "documents"), ngram_join.JoinParams(words=3, percent=90))
 
@@ -60,6 +68,7 @@ def op10_media_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_warc_index": op2_warc_index,
     "op3_ngram_join": op3_ngram_join,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
