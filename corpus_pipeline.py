@@ -1,12 +1,73 @@
-"""Corpus pipeline: each stage applies one operator to all that the stage before it kept."""
+"""Corpus pipeline: each stage applies one operator to all that the stage before it kept.
+
+quality rules (rejected documents go) -> line dedup (later repeats of three-line windows go, and documents that
+lose all their words with them) -> n-gram join (one document of each near-duplicate group stays, the least id) ->
+secret scans (secrets are masked) -> packing (token pieces in sequences). Clean documents pass every filter.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siteweave.llm import line_dedup, ngram_join, packing, quality_rules, secret_scan
+from siteweave.llm.common import discard, materialize, small_side, table
+from siteweave.llm.tokens import word_tokenizer_path
+from siteweave.session import ship
 
-STAGES: list = []
+#: SQL can express neither the components of the n-gram join nor tokens.
 ORACLE_SQL = None
 
 
+def _with_length(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that pass the base checks and their language's and source's fences."""
+    names = docs.columns
+    return quality_rules.adaptive_filter(docs, carry=tuple(names)).where("kept").select(*names)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes repeated windows of lines; a document left without a word goes."""
+    names = docs.columns
+    cut = line_dedup.remove_repeats(docs).where((F.col("n_removed") == 0) | F.col("text").rlike(line_dedup.WORD))
+    return _with_length(cut.select(*names))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents joined by five-word similarity of 0.8 or more, keeps the one of the least id."""
+    groups = ngram_join.similarity_components(docs, ngram_join.JoinParams(words=5, percent=80))
+    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
+    gone = materialize(gone, "near-duplicates")
+    return docs.join(small_side(gone), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks secrets in every text."""
+    return _with_length(secret_scan.redact(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the tokens of every document into sequences."""
+    return packing.pack_documents(docs, word_tokenizer_path(), end_id=1)
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
+    ("ngram_join", near_duplicate_stage),
+    ("secret_scans", secret_stage),
+    ("packing", packing_stage),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The last stage's rows. Between stages the documents are a written table."""
+    docs = table(ship(spark), sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
+        if hasattr(before, "written_at"):
+            discard(before)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -147,11 +147,11 @@ def keep(scored: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def adaptive_filter(df: DataFrame, params: QualityParams = QualityParams(), carry: tuple[str, ...] = ()) -> DataFrame:
-    """Scores ``df`` once into a written table (with the ``carry`` columns), sketches it, and returns the judged rows."""
+    """Judged rows with the ``carry`` columns. Without the text, scores are kept in a narrow written table and computed
+    once; with it, they are computed again for the filter, which costs CPU but neither writes nor shuffles a text."""
     df = df.select(*dict.fromkeys((*carry, "lang", "source", "text")))
     scored = score(df, params)
     if "text" not in carry:
-        scored = scored.drop("text")
-    scored = materialize(scored, "quality")
+        scored = materialize(scored.drop("text"), "quality")
     limits = small_side(materialize(thresholds(sketches(scored, params), params), "fences"))
     return keep(scored, limits)
