@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.selectors import document_links, static_links
 from ..functions.urls import resolve_url
+from .frontier import written
 from .merge import keep_first
 
 
@@ -42,7 +43,7 @@ def scrape(listings: DataFrame, page_store: DataFrame | None = None, key: str =
     routed = route(listings)
     args = lambda f: f("html", "careers_url", "parent_container_selector", "child_job_link_selector")
     static = routed.where("mode = 'static'").withColumn("links", args(static_links))
-    static = static.where("links is not null").select(key, F.lit(1).alias("page_no"), F.posexplode("links").alias("pos", "l"))
+    static = written(static.where("links is not null").select(key, F.lit(1).alias("page_no"), F.posexplode("links").alias("pos", "l")), "static-links")
     spec = routed.select(key, "careers_url", "parent_container_selector", "child_job_link_selector")
     browser_pages = routed.select(key, F.lit(1).alias("page_no"), "html", F.lit(False).alias("next_usable"))
     if page_store is not None:
@@ -51,7 +52,7 @@ def scrape(listings: DataFrame, page_store: DataFrame | None = None, key: str =
     seen = pages_until_stop(seen.withColumn("urls", F.transform("links", lambda x: x["url"])), key, "page_no", "urls", "next_usable")
     browser = seen.where("links is not null").select(key, "page_no", F.posexplode("links").alias("pos", "l"))
     scraped = static.unionByName(browser).select(key, F.col("l.url").alias("url"), "page_no", "pos", F.col("l.title").alias("title"))
-    scraped = keep_first(scraped, [key, "url"], ["page_no", "pos"])
+    scraped = written(keep_first(scraped, [key, "url"], ["page_no", "pos"]), "scraped")  # read twice below; pages are parsed once
     own = routed.join(scraped.select(key).distinct(), key, "left_anti").select(key, "careers_url", F.posexplode("individual_job_links").alias("pos", "l"))
     own = own.select(key, resolve_url(F.col("careers_url"), F.col("l.href")).alias("url"), F.lit(1).alias("page_no"), "pos", F.col("l.text").alias("title"))
     own = keep_first(own.where("url is not null"), [key, "url"], ["page_no", "pos"])
