@@ -1,9 +1,10 @@
 """Word-level encoding with a public tokenizer file: the library encodes each distinct word once per worker.
 
 The tokenizer's normalizer and pre-tokenizer never look across white space, so a text's ids are those of its
-white-space-separated pieces in order. Pieces repeat, the library call is what costs, so pieces are cached; a
-piece of plain Latin letters with closing ASCII marks is cached by its lower-case word and its marks apart.
-Caches are emptied at a fixed number of entries.
+white-space-separated pieces in order. Pieces repeat, the library call is what costs, so pieces are cached. A
+piece of plain Latin letters with closing ASCII marks is, to the pre-tokenizer, its lower-case word and its marks,
+each whole; these go straight to the library's BPE model and are cached apart. All other pieces take the whole
+tokenizer. Caches are emptied at a fixed number of entries.
 """
 
 from __future__ import annotations
@@ -17,7 +18,17 @@ import numpy as np
 SPACES = re.compile("[\t-\r \x85\xa0  -     　]+")
 ODD = re.compile("[\x1c-\x1f]")
 PLAIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 500_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 characters stand for their bytes, the other bytes follow from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
+BYTE_LETTERS = _byte_letters()
 
 _loaded: dict[str, "WordEncoder"] = {}
 
@@ -29,22 +40,22 @@ def word_tokenizer_path() -> str:
 
 
 class _Words(dict):
-    """Lower-case word or run of marks -> ids as little-endian unsigned 32-bit bytes."""
+    """Lower-case Latin word, or run of marks -> ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+    def __init__(self, model):
+        self.tokenize = model.tokenize
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
+        letters = word.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ids = self[word] = b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(letters)])
         return ids
 
 
 class _Pieces(dict):
-    def __init__(self, words: _Words):
-        self.words = words
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, _Words(tokenizer.model)
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_ENTRIES:
@@ -55,7 +66,7 @@ class _Pieces(dict):
             if marks:
                 ids += self.words[marks]
         else:
-            ids = self.words[piece]
+            ids = np.asarray(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
         self[piece] = ids
         return ids
 
@@ -69,7 +80,7 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True
-        self._pieces = _Pieces(_Words(tokenizer))
+        self._pieces = _Pieces(tokenizer)
 
     def encode(self, text: str) -> bytes:
         pieces = text.split() if not ODD.search(text) else [p for p in SPACES.split(text) if p]
