@@ -153,6 +153,29 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM beyond) AS kept FROM ratios
 """
 
+_OP2_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+firsts AS (SELECT x, h, min(page_id) AS first FROM p GROUP BY x, h),
+quints AS (SELECT x, list_transform(range(8), lambda k: ('0x' || substr(x, 5 * k + 1, 5))::BIGINT) AS vs FROM firsts),
+named AS (SELECT DISTINCT x, array_to_string(list_transform(range(32), lambda c: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((vs[c // 4 + 1] >> (15 - 5 * (c % 4))) & 31)::INTEGER, 1)), '') AS digest FROM quints)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM p JOIN firsts USING (x, h) JOIN named USING (x)
+"""
+
+_OP3_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM words WHERE len(w) > 0
+), grams AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 2), ' ') AS g FROM places
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM grams a JOIN grams b USING (g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * i >= 90 * (s.n + t.n - i)
+), both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT a, y FROM reach JOIN both_ways ON x = b)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
+"""
+
 _OP5_SQL = r"""
 WITH lined AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
@@ -167,4 +190,4 @@ SELECT doc_id, CASE WHEN ps IS NULL THEN text ELSE array_to_string(list_filter(l
   coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(ps), 0)::BIGINT AS n_removed FROM lined LEFT JOIN gone USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_url_filters": _OP1_SQL, "op5_line_dedup": _OP5_SQL, "op6_quality_rules": _OP6_SQL}
+ORACLES: dict[str, str] = {"op1_url_filters": _OP1_SQL, "op2_warc_index": _OP2_SQL, "op3_ngram_join": _OP3_SQL, "op5_line_dedup": _OP5_SQL, "op6_quality_rules": _OP6_SQL}
