@@ -173,6 +173,12 @@ def elements(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return pages.select(key, F.inline(parse_html("html")))
 
 
+def descendants(rows: DataFrame, containers: DataFrame, key: str = "page_id") -> DataFrame:
+    """Elements below containers of the same page, with the container's position: a range join on pre-order intervals."""
+    inside = containers.select(F.col(key).alias("_key"), F.col("pos").alias("container_pos"), F.col("end").alias("_end"))
+    return rows.join(inside, (F.col(key) == F.col("_key")) & (F.col("pos") > F.col("container_pos")) & (F.col("pos") <= F.col("_end"))).drop("_key", "_end")
+
+
 def tagged(rows: Column, *tags: str) -> Column:
     return F.filter(rows, lambda e: e["tag"].isin(*tags))
 

@@ -6,28 +6,11 @@ anti join. Each level is a written table, so a lost executor repeats a level at
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
-
-
-def shared_dir(spark: SparkSession) -> str:
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file:///tmp/siteweave-shared"
-        spark.conf.set("spark.checkpoint.dir", where)
-        spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the folder that driver and executors share."""
-    path = f"{shared_dir(df.sparkSession)}/siteweave/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from ..session import written
 
 
 def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import HeuristicConfig
@@ -126,6 +126,12 @@ def score_pages(pages: DataFrame, config: HeuristicConfig = HeuristicConfig(), h
     return df.withColumns({"score": total_score(), "debug_info": messages()}).withColumn("is_job_listing", F.col("score") > config.threshold)
 
 
+def score_listing(spark: SparkSession, html: str, url: str | None = None, config: HeuristicConfig = HeuristicConfig()) -> tuple[float, list[str]]:
+    """(score, messages) of one page."""
+    row = score_pages(spark.createDataFrame([(html, url)], "html string, url string"), config).first()
+    return row.score, row.debug_info
+
+
 def score_regular(pages: DataFrame, config: HeuristicConfig = HeuristicConfig()) -> DataFrame:
     """The same rules in the JVM alone, for pages with plain anchors and headings and no forms (no parse, no Python)."""
     df = pages.withColumns({"_links": regular_links(F.col("html")), "_heading": F.concat_ws(" ", regular_text(F.col("html"), "title"), regular_text(F.col("html"), "h1"))})

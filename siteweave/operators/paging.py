@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.selectors import document_links, static_links
 from ..functions.urls import resolve_url
-from .frontier import written
+from ..session import written
 from .merge import keep_first
 
 

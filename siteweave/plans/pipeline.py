@@ -14,7 +14,7 @@ from ..functions.html import minify_body
 from ..functions.text import chunks, detail_prompt, listing_prompt, markdown
 from ..functions.urls import normalize_url
 from ..operators import extract, frontier, heuristics, merge, paging, telemetry
-from ..session import ship
+from ..session import ship, written
 from ..sources import store
 
 
@@ -71,7 +71,7 @@ class Pipeline:
             }
         )
         fresh = fresh.withColumn("individual_job_links", F.coalesce("individual_job_links", F.from_json(F.lit("[]"), fresh.schema["individual_job_links"].dataType.simpleString())))
-        fresh = frontier.written(fresh, "listings")  # model calls are made once
+        fresh = written(fresh, "listings")  # model calls are made once
         if c.listing_cache_dir:
             store.save_cache(fresh, c.listing_cache_dir)
         return fresh if hits is None else fresh.unionByName(hits.select(*fresh.columns))
@@ -86,7 +86,7 @@ class Pipeline:
         ok = ok.select(normalize_url(F.col("url"), F.col("url")).alias("target"), "html")
         found = first.join(ok, "target").select(key, F.col("url").alias("job_url"), detail_prompt(markdown("html")).alias("prompt"))
         once = found.select("job_url", "prompt").dropDuplicates(["job_url"])
-        answers = frontier.written(extract.extract_details(once, self.details_model, self.policy), "details")
+        answers = written(extract.extract_details(once, self.details_model, self.policy), "details")
         return found.select(key, "job_url").distinct().join(answers, "job_url")
 
     def run(self, pages: DataFrame, seeds: DataFrame | None = None, output: str | None = None, run_id: str | None = None) -> Result:
@@ -95,18 +95,18 @@ class Pipeline:
         with log.stage("pipeline_start") as extra:
             extra["seeds"] = seeds.count()
         with log.stage("bfs_crawl"):
-            crawled = frontier.written(self.crawl(seeds, pages), "crawled")
-        best = frontier.written(self.best(crawled), "best")
+            crawled = written(self.crawl(seeds, pages), "crawled")
+        best = written(self.best(crawled), "best")
         report = heuristics.report_lines(seeds, best)
         with log.stage("listing_llm") as extra:
-            listings = frontier.written(self.analyze(best.withColumn("page_key", F.col("url")).dropDuplicates(["page_key"])), "analyzed")
+            listings = written(self.analyze(best.withColumn("page_key", F.col("url")).dropDuplicates(["page_key"])), "analyzed")
             row = listings.agg(F.coalesce(F.sum("total_token_count"), F.lit(0)), F.count_if("cache_hit")).first()
             extra["tokens"], extra["cache_hit"] = row[0], row[1]
         with log.stage("job_links_scrape") as extra:
-            links = frontier.written(self.scrape_links(listings), "links")
+            links = written(self.scrape_links(listings), "links")
             extra["count"] = links.count()
         with log.stage("job_details_llm") as extra:
-            details = frontier.written(self.details(links, pages), "answers")
+            details = written(self.details(links, pages), "answers")
             extra["job_rows"] = details.where("details is not null").count()
         with log.stage("pipeline_end"):
             if output:

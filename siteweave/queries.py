@@ -11,7 +11,7 @@ from .config import FIXTURE_VOCABULARY, HeuristicConfig
 from .functions import html as html_functions
 from .functions import selectors, text, urls, validate
 from .operators import extract, frontier, heuristics, merge, paging
-from .session import ship
+from .session import ship, written
 from .sources import store
 
 DEFAULT = HeuristicConfig()
@@ -150,6 +150,13 @@ def first_k_links(spark, sf_dir):
     return merge.first_k(df, 3, "page_id", ["pos"]).select("page_id", "pos", "href")
 
 
+@query(f"SELECT page_id, href FROM ({_LINKS})")
+def elements_in_container(spark, sf_dir):
+    """Anchors below the page's nav element, by the interval join on the elements relation."""
+    rows = written(html_functions.elements(_table(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", "pos", "end", "tag", F.col("attrs")["href"].alias("href")), "elements")
+    return html_functions.descendants(rows.where("tag = 'a'"), rows.where("tag = 'nav'")).select("page_id", "href")
+
+
 # Scores
 
 
@@ -226,7 +233,7 @@ def _graph(spark, sf_dir):
     page, target = F.concat(F.lit("p"), F.col("page_id").cast("string")), F.concat(F.lit("h"), "href")
     there = links.select(page.alias("source_url"), target.alias("url"), F.col("pos").cast("long").alias("pos"))
     back = links.select(target.alias("source_url"), page.alias("url"), F.col("page_id").alias("pos"))
-    return frontier.written(there.unionByName(back).distinct(), "edges")
+    return written(there.unionByName(back).distinct(), "edges")
 
 
 def _bfs_sql(seeds: str, depth: int) -> str:

@@ -1,13 +1,14 @@
-"""Session helpers: code shipping to the executors' Python workers."""
+"""Session helpers: code for the Python workers, and storage that driver and executors share."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -25,3 +26,26 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(path)
         _shipped.add(app)
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        where = "file:///tmp/siteweave-shared"
+        spark.conf.set("spark.checkpoint.dir", where)
+        spark.sparkContext.setCheckpointDir(where)
+    return where.rstrip("/")
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/siteweave/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cuts the lineage with a written table in the shared folder; its path is kept in ``written_at``."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.written_at = path
+    return out

@@ -13,7 +13,7 @@ def scored(spark, body, url="https://example.com/x"):
 
 def test_golden_page(spark):
     body = '<html><head><title>Jobs</title></head><body><h1>Careers</h1><nav class="pagination">Next</nav><a href="/jobs/1">Software Engineer</a><a href="/jobs/2">Nurse</a></body></html>'
-    score, said = scored(spark, body, "https://example.com/jobs")
+    score, said = heuristics.score_listing(spark, body, "https://example.com/jobs")
     assert score == 4.0 and len(said) == 3
 
 
