@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import ship, work_path
+from ..session import written as materialize
+
+__all__ = ["BROADCAST_ROWS", "Output", "RangeReader", "discard", "filesystem", "materialize", "small_side", "table", "work_path"]
 
 #: A side is broadcast only if a count has shown it to have at most this many (narrow) rows.
 BROADCAST_ROWS = 1_000_000
@@ -17,29 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file:///tmp/siteweave-shared"
-        spark.conf.set("spark.checkpoint.dir", where)
-        spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/siteweave/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage with a written table in the shared folder; its path is kept in ``written_at``."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.parquet(path)
-    out.written_at = path
-    return out
-
-
 def discard(*frames: DataFrame) -> None:
     """Deletes written tables that no later plan reads."""
     for df in frames:
@@ -64,11 +44,6 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def make_dir(uri: str) -> None:
-    store, path = filesystem(uri)
-    store.create_dir(path, recursive=True)
-
-
 class Output:
     """A file of a task attempt. Its name is unique to the attempt; only committed manifest rows refer to it."""
 
