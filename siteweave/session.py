@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -29,10 +31,13 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, as in tests in one process,
+    a folder that goes when the process ends."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = "file:///tmp/siteweave-shared"
+        own = tempfile.mkdtemp(prefix="siteweave-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        where = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", where)
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
