@@ -22,6 +22,7 @@ def ship(spark: SparkSession) -> SparkSession:
         root = Path(__file__).resolve().parent
         handle, path = tempfile.mkstemp(suffix=".zip", prefix="siteweave-")
         os.close(handle)
+        atexit.register(Path(path).unlink, missing_ok=True)  # the driver serves it until then
         with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
             for file in sorted(root.rglob("*.py")):
                 archive.write(file, file.relative_to(root.parent))
