@@ -4,17 +4,19 @@ A document's set is its distinct word n-grams (64-bit hashes). All sets follow o
 by a fixed-size count sketch over all documents (any order gives the same links; a good one gives few candidates).
 
 1. Equal sets collapse into classes, so copies cost nothing further.
-2. Prefixes: sets that meet the threshold share a gram among the first n - ceil(t * n) + 1 of each. Only class ids
-   and sizes travel with a gram, never the sets.
+2. Prefixes: two sets of overlap o or more share k grams at least among the first n - o + k of each. A class keeps
+   the prefix for its own k, 1 + n // 40, and only those grams that another class has too; a class left with fewer
+   than any partner would share with it is out. Only class ids and sizes travel with a gram, never the sets.
 3. Each class picks one leader, the most central class that shares most of its prefix grams. A leader and a bounded
    number of its followers form a block. In a block the ordered sets are stored in a trie; every set walks it,
    sharing the partial overlaps of common paths, and leaves a subtree when the overlap so far and the remaining
    lengths cannot reach the threshold, or when all sets below already are in its component. Links are exact.
 4. Grams whose classes are not all in one component after that are resolved by the same trie walk over pairs of
-   cells (bounded groups of classes with one leader), each pair of cells once, however many grams they share.
+   cells (bounded groups of classes with one leader) that share enough grams, each pair of cells once.
 5. Components are those of all links.
 
-No group is ever collected: hot grams are pre-aggregated to their leader, blocks and cells are bounded.
+No group is ever collected: hot grams are pre-aggregated to their leader, blocks and cells are bounded. Class ids
+are 64-bit hashes of the sets: two different sets have one id with a chance of 2 ** -64.
 
 Defined results: null or empty texts, or texts without words, have an empty set, size 0 and link with nothing;
 with fewer words than n the whole sequence is the one gram; repeated rows are copies; texts of any length are
@@ -24,26 +26,31 @@ component id it yields to any other key.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, materialize, small_side
 from .graph import connected_components
 
-CACHE_ENTRIES = 400_000
+U64 = np.uint64
+_BASE = 0x9E3779B97F4A7C55
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SEGMENT = 1 << 18
 
 
 @dataclass(frozen=True)
 class JoinParams:
     words: int = 5
     percent: int = 80
-    sketch_bits: int = 17
+    sketch_bits: int = 20
     block: int = 64
 
 
@@ -52,40 +59,80 @@ def least(percent: int, n: int) -> int:
     return -(-percent * n // 100)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def needed(n: int) -> int:
+    """How many grams of its prefix a class of n grams asks a partner to share."""
+    return 1 + n // 40
 
 
-_hashes = _WordHashes()
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> U64(32))) * U64(0x9FB21C651E98DF25)
+    return x ^ (x >> U64(29))
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9FB21C651E98DF25)
-    return x ^ (x >> np.uint64(29))
+def _letters() -> np.ndarray:
+    """A 64-bit number for each byte; capital letters have those of the small ones."""
+    values = _mix(np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93))
+    values[65:91] = values[97:123]
+    return values
+
+
+_LETTER = _letters()
+_GAP = np.isin(np.arange(256), [32, *range(9, 14)])
+
+
+class _Powers:
+    """Powers of the base and of its inverse, as many as the longest segment needs."""
+
+    up = down = np.ones(1, U64)
+
+    @classmethod
+    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            size = max(n, _SEGMENT)
+            grow = lambda x: np.concatenate([np.ones(1, U64), np.cumprod(np.full(size - 1, x, U64))])
+            cls.up, cls.down = grow(_BASE), grow(_INVERSE)
+        return cls.up, cls.down
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """A 64-bit hash of each word (split at ASCII white space, A-Z as a-z), from prefix sums over segments."""
+    raw, out, at = np.frombuffer(data, np.uint8), [], 0
+    while at < len(raw):
+        end = min(len(raw), at + _SEGMENT)
+        if end < len(raw):  # a segment ends at white space
+            gaps = np.flatnonzero(_GAP[raw[at:end]])
+            later = gaps[-1:] + at if len(gaps) else np.flatnonzero(_GAP[raw[end:]])[:1] + end
+            end = int(later[0]) if len(later) else len(raw)
+        part = raw[at:end]
+        inside = np.zeros(len(part) + 2, np.int8)
+        inside[1:-1] = ~_GAP[part]
+        turns = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = turns[::2], turns[1::2]
+        up, down = _Powers.upto(len(part) + 1)
+        sums = np.zeros(len(part) + 1, U64)
+        np.cumsum(_LETTER[part] * up[: len(part)], out=sums[1:])
+        out.append(_mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64) * U64(0xA0761D6478BD642F)))
+        at = end + (end == at)
+    return np.concatenate(out) if out else np.empty(0, U64)
 
 
 def gram_set(text: str | None, n: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the text's word n-grams. Words: A-Z lower-cased, split at ASCII white space."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    width = min(n, len(words))
-    grams = np.full(len(h) - width + 1, width * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, np.uint64)
+    """Sorted distinct 64-bit hashes of the text's word n-grams."""
+    h = word_hashes((text or "").encode("utf-8", "replace"))
+    if not len(h):
+        return h
+    width = min(n, len(h))
+    grams = np.full(len(h) - width + 1, width * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF, U64)
     for i in range(width):
-        grams = _mix(grams * np.uint64(0xC2B2AE3D27D4EB4F) + h[i : len(h) - width + 1 + i])
+        grams = _mix(grams * U64(0xC2B2AE3D27D4EB4F) + h[i : len(h) - width + 1 + i])
     return np.unique(grams)
 
 
-def set_id(grams: np.ndarray) -> bytes | None:
-    return xxhash.xxh3_128_digest(grams.tobytes()) if len(grams) else None
+def set_id(grams: np.ndarray) -> int | None:
+    return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63) if len(grams) else None
 
 
-def _texts(batches: Iterator[pa.RecordBatch], column: int, n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch], column: int, n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for whole in batches:
         for at in range(0, whole.num_rows, 256):
             batch = whole.slice(at, 256)
@@ -93,37 +140,63 @@ def _texts(batches: Iterator[pa.RecordBatch], column: int, n: int) -> Iterator[t
 
 
 def scan_sets(df: DataFrame, params: JoinParams, key: str) -> DataFrame:
-    """Pass 1: a row (key, n, sid) for each document, and rows (bucket, c) that add up to the count sketch."""
+    """Pass 1: a row (key, n, sid) for each document, and a row (part, sketch) for each partition."""
     n, bits = params.words, params.sketch_bits
-    names = ["key", "n", "sid", "bucket", "c"]
+    names = ["key", "n", "sid", "part", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch, kind = np.zeros(1 << bits, np.int64), pa.int64()
-        for batch, sets in _texts(batches, 1, n):
+        sketch, kind, some = np.zeros(1 << bits, np.uint32), None, False
+        for batch, sets in _sets(batches, 1, n):
             kind = batch.column(0).type
-            sketch += np.bincount((np.concatenate(sets) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-            none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.binary()), *none], names)
-        used = np.flatnonzero(sketch)
-        if len(used):
-            none = pa.nulls(len(used), kind), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.binary())
-            yield pa.RecordBatch.from_arrays([*none, pa.array(used.astype(np.int32)), pa.array(sketch[used])], names)
+            np.add.at(sketch, (np.concatenate(sets) >> U64(64 - bits)).astype(np.int64), 1)
+            some = some or any(map(len, sets))
+            none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([set_id(s) for s in sets], pa.int64()), *none], names)
+        if some:
+            blob = zlib.compress(sketch.tobytes(), 1)
+            part = pa.array([TaskContext.get().partitionId()], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), part, pa.array([blob], pa.binary())], names)
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, "text").mapInArrow(run, f"key {kind}, n long, sid binary, bucket int, c long")
+    return df.select(key, "text").mapInArrow(run, f"key {kind}, n int, sid long, part int, sketch binary")
+
+
+def _summed(blobs, bits: int) -> np.ndarray:
+    total = np.zeros(1 << bits, np.uint64)
+    for blob in blobs:
+        total += np.frombuffer(zlib.decompress(blob), np.uint32)
+    return np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
 
 
 def sketch_of(scanned: DataFrame, params: JoinParams) -> np.ndarray:
-    """The count sketch over all documents: 2 ** sketch_bits counters, whatever the corpus size."""
-    total = scanned.where("bucket is not null").groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()
-    counts = np.zeros(1 << params.sketch_bits, np.int64)
-    counts[total.column("bucket").to_numpy()] = total.column("c").to_numpy()
-    return counts
+    """The count sketch over all documents: 2 ** sketch_bits counters, whatever the corpus size.
+
+    Sketches of partitions are summed in about the square root of their number of groups by tasks, then streamed
+    through the driver, one group's at a time.
+    """
+    bits = params.sketch_bits
+    rows = scanned.where("sketch is not null").select("part", "sketch")
+    groups = max(1, int(rows.count() ** 0.5))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = (x.as_py() for batch in batches for x in batch.column(1))
+        first = next(blobs, None)
+        if first is not None:
+            total = _summed(_chain(first, blobs), bits)
+            yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["sketch"])
+
+    merged = rows.repartition(groups, "part").mapInArrow(add, "sketch binary")
+    return _summed((r.sketch for r in merged.toLocalIterator()), bits)
+
+
+def _chain(first, rest):
+    yield first
+    yield from rest
 
 
 def in_order(grams: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
     """The grams in global order: by sketched count, then hash. ``grams`` is sorted by hash."""
-    return grams[np.argsort(counts[(grams >> np.uint64(64 - bits)).astype(np.int64)], kind="stable")]
+    return grams[np.argsort(counts[(grams >> U64(64 - bits)).astype(np.int64)], kind="stable")]
 
 
 def prefixes(df: DataFrame, params: JoinParams, counts) -> DataFrame:
@@ -132,20 +205,21 @@ def prefixes(df: DataFrame, params: JoinParams, counts) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = counts.value, set()
-        for _, sets in _texts(batches, 0, n):
+        for _, sets in _sets(batches, 0, n):
             rows = []
             for s in sets:
                 sid = set_id(s)
                 if sid is None or sid in seen:
                     continue
-                if len(seen) < CACHE_ENTRIES:
+                if len(seen) < 500_000:
                     seen.add(sid)
-                rows.append((sid, len(s), in_order(s, order, bits)[: len(s) - least(percent, len(s)) + 1].view(np.int64)))
+                length = len(s) - least(percent, len(s)) + needed(len(s))
+                rows.append((sid, len(s), in_order(s, order, bits)[:length].view(np.int64)))
             if rows:
                 a, b, c = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.int64()), pa.array(c, pa.list_(pa.int64()))], ["sid", "n", "prefix"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.list_(pa.int64()))], ["sid", "n", "prefix"])
 
-    return df.select("text").mapInArrow(run, "sid binary, n long, prefix array<long>").dropDuplicates(["sid"])
+    return df.select("text").mapInArrow(run, "sid long, n int, prefix array<long>").dropDuplicates(["sid"])
 
 
 def sized(a: str, b: str, percent: int) -> Column:
@@ -153,14 +227,24 @@ def sized(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def shared_grams(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(gram, sid, n) of prefix grams in two classes or more, and (gram, leader, leader_n)."""
+def _needed(n: Column) -> Column:
+    return 1 + F.floor(n / 40)
+
+
+def shared_grams(prefix: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(gram, sid, n, degree) of prefix grams in two classes or more, and (gram, leader, leader_n).
+
+    A class whose shared grams are fewer than the least partner in size would ask for is left out.
+    """
     rows = prefix.select(F.explode("prefix").alias("gram"), "sid", "n")
     common = materialize(rows.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram"), "grams")
-    shared = materialize(rows.join(small_side(common), "gram"), "shared")
-    central = shared.groupBy("sid").agg(F.count("*").alias("degree"))
-    heads = shared.join(central, "sid").groupBy("gram").agg(F.max(F.struct("degree", "sid", "n")).alias("h"))
-    heads = materialize(heads.select("gram", F.col("h.sid").alias("leader"), F.col("h.n").alias("leader_n")), "heads")
+    lists = rows.join(small_side(common, 2_000_000), "gram").groupBy("sid").agg(F.first("n").alias("n"), F.collect_list("gram").alias("grams"))
+    lists = lists.where(F.size("grams") >= _needed(F.ceil(F.col("n") * percent / 100)))
+    shared = materialize(lists.select(F.explode("grams").alias("gram"), "sid", "n", F.size("grams").alias("degree")), "shared")
+    # most central, then a fixed choice among equals; one number, so that the aggregation hashes
+    rank = F.least("degree", F.lit(500_000)).cast("long") * (1 << 44) + F.shiftrightunsigned("sid", 20)
+    heads = shared.groupBy("gram").agg(F.max_by("sid", rank).alias("leader"), F.max_by("n", rank).alias("leader_n"), F.count("*").alias("c")).where("c > 1").drop("c")
+    heads = materialize(heads, "heads")
     discard(common)
     return shared, heads
 
@@ -168,21 +252,8 @@ def shared_grams(prefix: DataFrame) -> tuple[DataFrame, DataFrame]:
 def followers(shared: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """(sid, leader): for each class the leader of most of its shared grams, among those of a fitting size."""
     votes = shared.join(heads, "gram").where(F.col("sid") != F.col("leader")).where(sized("n", "leader_n", percent))
-    return votes.groupBy("sid", "leader").agg(F.count("*").alias("c")).groupBy("sid").agg(F.max(F.struct("c", "leader")).alias("b")).select("sid", F.col("b.leader").alias("leader"))
-
-
-def candidate_sets(df: DataFrame, key: str, classes: DataFrame, wanted: DataFrame, params: JoinParams) -> DataFrame:
-    """Pass 3: (sid, grams) of the wanted classes, from one document each."""
-    n = params.words
-    chosen = materialize(classes.join(wanted, "sid", "left_semi").select(F.col("rep").alias("_key")), "chosen")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _texts(batches, 0, n):
-            sets = [s for s in sets if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sid", "grams"])
-
-    texts = df.select(key, "text").join(small_side(chosen), F.col(key).eqNullSafe(F.col("_key")), "left_semi").select("text")
-    return materialize(texts.mapInArrow(run, "sid binary, grams binary").dropDuplicates(["sid"]), "sets")
+    counted = votes.groupBy("sid", "leader").agg(F.count("*").alias("c"))
+    return counted.groupBy("sid").agg(F.max_by("leader", F.least("c", F.lit(500_000)) * (1 << 44) + F.shiftrightunsigned("leader", 20)).alias("leader"))
 
 
 class Trie:
@@ -215,7 +286,7 @@ def trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: i
     """Pairs of similar sets that join the block's components; pairs already joined by others are left out."""
     universe, places = np.unique(np.concatenate(grams), return_inverse=True)
     ranks = np.empty(len(universe), np.int64)
-    ranks[np.argsort(order[(universe >> np.uint64(64 - bits)).astype(np.int64)], kind="stable")] = np.arange(len(universe))
+    ranks[np.argsort(order[(universe >> U64(64 - bits)).astype(np.int64)], kind="stable")] = np.arange(len(universe))
     cuts = np.cumsum([len(g) for g in grams])[:-1]
     sets = [np.sort(x) for x in np.split(ranks[places], cuts)]
     root = Trie(sets, sorted(range(len(sets)), key=lambda i: sets[i].tolist()), 0)
@@ -247,9 +318,22 @@ def trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: i
     return links
 
 
-def join_blocks(blocks: DataFrame, sets: DataFrame, counts, params: JoinParams) -> DataFrame:
-    """(a, b): links found in each block of (block, sid). Blocks are bounded; a task streams through many."""
-    bits, percent = params.sketch_bits, params.percent
+def join_blocks(df: DataFrame, key: str, classes: DataFrame, blocks: DataFrame, counts, params: JoinParams) -> DataFrame:
+    """(a, b): links found in each block of (block, sid).
+
+    The texts of the wanted classes (one document each) are read again and their sets go straight to their blocks, the
+    only shuffle of sets. Blocks are bounded; a task streams through many.
+    """
+    n, bits, percent = params.words, params.sketch_bits, params.percent
+    wanted = blocks.groupBy("sid").agg(F.collect_set("block").alias("_blocks")).join(classes, "sid")
+    wanted = materialize(wanted.select(F.col("rep").alias("_key"), F.col("sid").alias("_sid"), "_blocks"), "wanted")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _sets(batches, 0, n):
+            rows = [(block, sid, s.tobytes()) for s, sid, into in zip(sets, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True) if set_id(s) == sid for block in into]
+            for at in range(0, len(rows), 1024):
+                a, b, c = zip(*rows[at : at + 1024], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.binary())], ["block", "sid", "grams"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = counts.value
@@ -257,22 +341,23 @@ def join_blocks(blocks: DataFrame, sets: DataFrame, counts, params: JoinParams)
 
         def links() -> pa.RecordBatch:
             pairs = trie_links(grams, order, bits, percent) if len(sids) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([sids[x[k]] for x in pairs], pa.binary()) for k in (0, 1)], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([sids[x[k]] for x in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
-            for b, sid, data in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                b = b.as_py()
+            for b, sid, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 if b != block:
                     if (out := links()).num_rows:
                         yield out
                     block, sids, grams = b, [], []
-                sids.append(sid.as_py())
-                grams.append(np.frombuffer(data.as_py(), np.uint64))
+                if not sids or sids[-1] != sid:  # rows of one key and text are one
+                    sids.append(sid)
+                    grams.append(np.frombuffer(data.as_py(), U64))
         if sids and (out := links()).num_rows:
             yield out
 
-    full = blocks.join(sets, "sid").select("block", "sid", "grams").repartition("block").sortWithinPartitions("block", "sid")
-    return full.mapInArrow(run, "a binary, b binary")
+    texts = df.select(key, "text").join(small_side(wanted, 500_000), F.col(key).eqNullSafe(F.col("_key"))).select("text", "_sid", "_blocks")
+    full = texts.mapInArrow(read, "block long, sid long, grams binary").repartition("block").sortWithinPartitions("block", "sid")
+    return full.mapInArrow(run, "a long, b long")
 
 
 def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: JoinParams, key: str) -> DataFrame:
@@ -280,22 +365,23 @@ def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: Jo
     spark, percent = df.sparkSession, params.percent
     counts = spark.sparkContext.broadcast(sketch_of(scanned, params))  # 2 ** sketch_bits numbers
     prefix = materialize(prefixes(df, params, counts), "prefixes")
-    shared, heads = shared_grams(prefix)
+    shared, heads = shared_grams(prefix, percent)
     discard(prefix)
     following = materialize(followers(shared, heads, percent), "followers")
     parts = following.groupBy("leader").agg(F.ceil(F.count("*") / params.block).alias("parts"))
     cells = following.join(parts, "leader").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")))
     cells = materialize(cells.select("sid", "leader", F.xxhash64("leader", "part").alias("cell")), "cells")
-    sets = candidate_sets(df, key, classes, shared.select("sid").distinct(), params)
     stars = cells.select(F.col("cell").alias("block"), "sid").unionByName(cells.select(F.col("cell").alias("block"), F.col("leader").alias("sid")).distinct())
-    first = materialize(join_blocks(stars, sets, counts, params), "links")
+    first = materialize(join_blocks(df, key, classes, stars, counts, params), "links")
 
     joined = materialize(connected_components(first, "a", "b"), "components").select(F.col("node").alias("sid"), F.col("component").alias("label"))
-    label = F.coalesce("label", "sid")
-    at = shared.join(joined, "sid", "left").withColumn("label", label).join(cells.select("sid", "cell"), "sid", "left").withColumn("cell", F.coalesce("cell", F.xxhash64("sid")))
+    homes = shared.groupBy("sid").agg(F.first("n").alias("n")).join(joined, "sid", "left").join(cells.select("sid", "cell"), "sid", "left")
+    homes = materialize(homes.select("sid", "n", F.coalesce("label", "sid").alias("label"), F.coalesce("cell", F.xxhash64("sid")).alias("cell")), "homes")
+    at = shared.select("gram", "sid").join(homes, "sid")
     spots = at.groupBy("gram", "cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
+    spots = materialize(spots, "spots")
     open_grams = spots.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h").select("gram")
-    spots = materialize(spots.join(open_grams, "gram", "left_semi"), "spots")
+    spots = spots.join(open_grams, "gram", "left_semi")
     other = spots.select("gram", *(F.col(c).alias(f"o_{c}") for c in ("cell", "lo", "hi", "n_lo", "n_hi")))
     pairs = (
         spots.join(other, "gram")
@@ -304,21 +390,21 @@ def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: Jo
         .where("cell <> o_cell or lo <> hi")
         .where(100 * F.col("n_hi") >= percent * F.col("o_n_lo"))
         .where(100 * F.col("o_n_hi") >= percent * F.col("n_lo"))
-        .select("cell", "o_cell")
-        .distinct()
+        .groupBy("cell", "o_cell")
+        .agg(F.count("*").alias("c"), F.least(F.min("n_lo"), F.min("o_n_lo")).alias("n"))
+        .where(F.col("c") >= _needed(F.col("n")))
     )
-    pairs = materialize(pairs.withColumn("block", F.xxhash64("cell", "o_cell")), "cell-pairs")
-    homes = shared.select("sid").distinct().join(cells.select("sid", "cell"), "sid", "left").withColumn("cell", F.coalesce("cell", F.xxhash64("sid")))
+    pairs = materialize(pairs.select("cell", "o_cell", F.xxhash64("cell", "o_cell").alias("block")), "cell-pairs")
     members = pairs.select("block", F.explode(F.array_distinct(F.array("cell", "o_cell"))).alias("cell")).join(homes, "cell").select("block", "sid").distinct()
-    second = materialize(join_blocks(members, sets, counts, params), "links")
-    discard(shared, heads, following, cells, spots, pairs, sets)
+    second = materialize(join_blocks(df, key, classes, members, counts, params), "links")
+    discard(shared, heads, following, cells, homes, pairs)
     return first.unionByName(second)
 
 
 def similarity_components(df: DataFrame, params: JoinParams = JoinParams(), key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id) of each row of (key, text): the least key reachable by links."""
     scanned = materialize(scan_sets(df, params, key), "sets-scan")
-    rows = scanned.where("bucket is null").select("key", "n", "sid")
+    rows = scanned.where("sketch is null").select("key", F.col("n").cast("long").alias("n"), "sid")
     classes = materialize(rows.where("sid is not null").groupBy("sid").agg(F.min("key").alias("rep")), "classes")
     links = find_links(df, scanned, classes, params, key)
     joined = materialize(connected_components(links, "a", "b"), "components")
