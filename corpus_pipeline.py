@@ -54,18 +54,30 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack_documents(docs, word_tokenizer_path(), end_id=1)
 
 
+def _shipped(stage):
+    """The stage, with this code sent to the executors before it runs."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(ship(spark), docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", quality_stage),
-    ("line_dedup", line_stage),
-    ("ngram_join", near_duplicate_stage),
-    ("secret_scans", secret_stage),
-    ("packing", packing_stage),
+    (name, _shipped(stage))
+    for name, stage in (
+        ("quality_rules", quality_stage),
+        ("line_dedup", line_stage),
+        ("ngram_join", near_duplicate_stage),
+        ("secret_scans", secret_stage),
+        ("packing", packing_stage),
+    )
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows. Between stages the documents are a written table."""
-    docs = table(ship(spark), sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         before, docs = docs, materialize(stage(spark, docs, sf_dir), name)
         if hasattr(before, "written_at"):

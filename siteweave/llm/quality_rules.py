@@ -102,7 +102,9 @@ def score(df: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
             "q_shouts": per_word("_n_shouts"),
         }
     )
-    return df.drop(*own, "_n_lines", "_n_caps", "_n_shouts")
+    # A filter never moves below a projection with an id; it would take a copy of every expression with it.
+    df = df.drop(*own, "_n_lines", "_n_caps", "_n_shouts").withColumn("_once", F.monotonically_increasing_id())
+    return df.where("_once >= 0").drop("_once")
 
 
 def sketches(scored: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
