@@ -12,7 +12,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Links each node's larger neighbours to the least node around it. Minima combine before the shuffle."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -22,6 +22,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are separate stars: each node hangs on one other at most, and none that hangs has hangers."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds")))
+    odd = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return odd.where("hangs > 1 or (hangs > 0 and holds > 0)").isEmpty()
+
+
 def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60) -> DataFrame:
     """Rows (node, component) for every node with an edge to another; component is the least node reachable.
 
@@ -30,16 +38,12 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 60)
     """
     pairs = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
     now = materialize(pairs.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct(), "edges")
-    state = lambda df: tuple(df.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first())
-    before = state(now)
-    for _ in range(max_rounds if before[0] else 0):
-        after = materialize(_small_star(_large_star(now)), "edges")
-        discard(now)
-        now, last, before = after, before, state(after)
-        if before == last:
+    for _ in range(max_rounds):
+        if _settled(now):
             break
+        before, now = now, materialize(_small_star(_large_star(now)), "edges")
+        discard(before)
     else:
-        if before[0]:
-            raise RuntimeError(f"components have not settled in {max_rounds} rounds")
+        raise RuntimeError(f"components have not settled in {max_rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
