@@ -15,6 +15,11 @@ by a fixed-size count sketch over all documents (any order gives the same links;
    cells (bounded groups of classes with one leader) that share enough grams, each pair of cells once.
 5. Components are those of all links.
 
+``similarity_components`` stops at the links that join components. ``similarity_links`` finds every link: each pair of
+cells that share enough grams (a cell with itself too) is one block, and its trie walk leaves a subtree only by sizes,
+overlap and remaining lengths. A pair of classes is in one block alone, so links are counted where they are found and
+no table of pairs is written; the work still grows with the number of links, the square of a group of near copies.
+
 No group is ever collected: hot grams are pre-aggregated to their leader, blocks and cells are bounded. Class ids
 are 64-bit hashes of the sets: two different sets have one id with a chance of 2 ** -64.
 
@@ -26,6 +31,7 @@ component id it yields to any other key.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -282,16 +288,21 @@ class Trie:
             self.children.append(Trie(sets, group, end))
 
 
-def trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: int) -> list[tuple[int, int]]:
-    """Pairs of similar sets that join the block's components; pairs already joined by others are left out."""
+def ranked(grams: list[np.ndarray], order: np.ndarray, bits: int) -> tuple[list[np.ndarray], int]:
+    """The sets as sorted places in the block's own global order, and the number of places."""
     universe, places = np.unique(np.concatenate(grams), return_inverse=True)
     ranks = np.empty(len(universe), np.int64)
     ranks[np.argsort(order[(universe >> U64(64 - bits)).astype(np.int64)], kind="stable")] = np.arange(len(universe))
     cuts = np.cumsum([len(g) for g in grams])[:-1]
-    sets = [np.sort(x) for x in np.split(ranks[places], cuts)]
+    return [np.sort(x) for x in np.split(ranks[places], cuts)], len(universe)
+
+
+def trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: int) -> list[tuple[int, int]]:
+    """Pairs of similar sets that join the block's components; pairs already joined by others are left out."""
+    sets, width = ranked(grams, order, bits)
     root = Trie(sets, sorted(range(len(sets)), key=lambda i: sets[i].tolist()), 0)
     component, links = np.arange(len(sets)), []
-    has = np.zeros(len(universe), bool)
+    has = np.zeros(width, bool)
     for i, query in enumerate(sets):
         has[query] = True
         size = len(query)
@@ -318,6 +329,36 @@ def trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: i
     return links
 
 
+def all_trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: int, left: int = 0) -> Iterator[tuple[int, int]]:
+    """All pairs (i, j) of similar sets, each once. The first ``left`` sets are one side and the rest the other, and
+    only pairs of both sides are looked for; without sides (0) all pairs are."""
+    sets, width = ranked(grams, order, bits)
+    root = Trie(sets, sorted(range(left, len(sets)), key=lambda i: sets[i].tolist()), 0)
+    has = np.zeros(width, bool)
+    for i in range(left or len(sets)):
+        query = sets[i]
+        has[query] = True
+        size = len(query)
+        stack = [(root, 0, 0)]
+        while stack:
+            node, overlap, depth = stack.pop()
+            if 100 * min(size, node.longest) < percent * max(size, node.shortest):
+                continue
+            left_over = size
+            if len(node.run):
+                overlap += int(np.count_nonzero(has[node.run]))
+                depth += len(node.run)
+                left_over -= int(np.searchsorted(query, node.run[-1], "right"))
+            # overlap o of sizes a, b meets the threshold if 100 * o >= percent * (a + b - o)
+            if (100 + percent) * (overlap + min(node.longest - depth, left_over)) < percent * (size + node.shortest):
+                continue
+            for j in node.ends:
+                if j > i and (100 + percent) * overlap >= percent * (size + len(sets[j])):
+                    yield i, j
+            stack.extend((child, overlap, depth) for child in node.children)
+        has[query] = False
+
+
 def join_blocks(df: DataFrame, key: str, classes: DataFrame, blocks: DataFrame, counts, params: JoinParams) -> DataFrame:
     """(a, b): links found in each block of (block, sid).
 
@@ -360,6 +401,97 @@ def join_blocks(df: DataFrame, key: str, classes: DataFrame, blocks: DataFrame,
     return full.mapInArrow(run, "a long, b long")
 
 
+def count_blocks(df: DataFrame, key: str, classes: DataFrame, blocks: DataFrame, counts, params: JoinParams) -> DataFrame:
+    """All links of each block of (block, side, sid), as rows (a, b, n): b null, class a has n linked documents in other
+    classes of the block; n null, a link that joins components of the block. Side 0 or 1: only pairs of both sides."""
+    n, bits, percent = params.words, params.sketch_bits, params.percent
+    wanted = blocks.groupBy("sid").agg(F.collect_set(F.struct("block", "side")).alias("_blocks")).join(classes, "sid")
+    wanted = materialize(wanted.select(F.col("rep").alias("_key"), F.col("sid").alias("_sid"), F.col("copies").alias("_copies"), "_blocks"), "wanted")
+    names = ["block", "side", "sid", "copies", "grams"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _sets(batches, 0, n):
+            cells = zip(sets, *(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)
+            rows = ((x["block"], x["side"], sid, copies, s.tobytes()) for s, sid, copies, into in cells if set_id(s) == sid for x in into)
+            while some := list(itertools.islice(rows, 1024)):
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*some, strict=True), kinds, strict=True)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = counts.value
+        block, sids, sides, copies, grams = None, [], [], [], []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            left = sides.count(0)
+            if len(sids) < 2 or left == len(sids):
+                return
+            total, component, rows = [0] * len(sids), np.arange(len(sids)), []
+            for i, j in all_trie_links(grams, order, bits, percent, left):
+                total[i] += copies[j]
+                total[j] += copies[i]
+                if component[i] != component[j]:
+                    rows.append((sids[i], sids[j], None))
+                    component[component == component[j]] = component[i]
+            rows += [(sid, None, x) for sid, x in zip(sids, total, strict=True) if x]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["a", "b", "n"])
+
+        for batch in batches:
+            for b, side, sid, c, data in zip(*(batch.column(k).to_pylist() for k in range(4)), batch.column(4), strict=True):
+                if b != block:
+                    yield from links()
+                    block, sids, sides, copies, grams = b, [], [], [], []
+                if not sids or sids[-1] != sid:  # rows of one key and text are one
+                    sids.append(sid)
+                    sides.append(side)
+                    copies.append(c)
+                    grams.append(np.frombuffer(data.as_py(), U64))
+        yield from links()
+
+    texts = df.select(key, "text").join(small_side(wanted, 500_000), F.col(key).eqNullSafe(F.col("_key"))).select("text", "_sid", "_copies", "_blocks")
+    full = texts.mapInArrow(read, "block long, side int, sid long, copies long, grams binary").repartition("block").sortWithinPartitions("block", "side", "sid")
+    return full.mapInArrow(run, "a long, b long, n long")
+
+
+def in_cells(following: DataFrame, params: JoinParams) -> DataFrame:
+    """(sid, leader, cell): followers of one leader in groups of about ``params.block``."""
+    parts = following.groupBy("leader").agg(F.ceil(F.count("*") / params.block).alias("parts"))
+    cells = following.join(parts, "leader").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")))
+    return materialize(cells.select("sid", "leader", F.xxhash64("leader", "part").alias("cell")), "cells")
+
+
+def count_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: JoinParams, key: str) -> DataFrame:
+    """Rows (a, b, n) of ``count_blocks`` over every pair of cells that may hold a link."""
+    spark, percent = df.sparkSession, params.percent
+    counts = spark.sparkContext.broadcast(sketch_of(scanned, params))  # 2 ** sketch_bits numbers
+    prefix = materialize(prefixes(df, params, counts), "prefixes")
+    shared, heads = shared_grams(prefix, percent)
+    discard(prefix)
+    cells = in_cells(materialize(followers(shared, heads, percent), "followers"), params)
+    homes = shared.groupBy("sid").agg(F.first("n").alias("n")).join(cells.select("sid", "cell"), "sid", "left")
+    homes = materialize(homes.select("sid", "n", F.coalesce("cell", F.xxhash64("sid")).alias("cell")), "homes")
+    spots = shared.select("gram", "sid").join(homes, "sid").groupBy("gram", "cell").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.count("*").alias("c"))
+    spots = materialize(spots, "spots")
+    other = spots.select("gram", *(F.col(c).alias(f"o_{c}") for c in ("cell", "n_lo", "n_hi")))
+    pairs = (
+        spots.join(other, "gram")
+        .where("cell < o_cell or (cell = o_cell and c > 1)")
+        .where(100 * F.col("n_hi") >= percent * F.col("o_n_lo"))
+        .where(100 * F.col("o_n_hi") >= percent * F.col("n_lo"))
+        .groupBy("cell", "o_cell")
+        .agg(F.count("*").alias("c"), F.least(F.min("n_lo"), F.min("o_n_lo")).alias("n"))
+        .where(F.col("c") >= _needed(F.col("n")))
+    )
+    pairs = materialize(pairs.select("cell", "o_cell", F.xxhash64("cell", "o_cell").alias("block")), "cell-pairs")
+    # a cell with itself has no sides
+    first = pairs.select("block", "cell", F.when(F.col("cell") == F.col("o_cell"), 1).otherwise(0).alias("side"))
+    second = pairs.where("cell <> o_cell").select("block", F.col("o_cell").alias("cell"), F.lit(1).alias("side"))
+    members = first.unionByName(second).join(homes, "cell").select("block", "side", "sid")
+    found = materialize(count_blocks(df, key, classes, members, counts, params), "links")
+    discard(shared, heads, cells, homes, spots, pairs)
+    return found
+
+
 def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: JoinParams, key: str) -> DataFrame:
     """(a, b): enough links between classes to join every component, each link exact."""
     spark, percent = df.sparkSession, params.percent
@@ -368,9 +500,7 @@ def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: Jo
     shared, heads = shared_grams(prefix, percent)
     discard(prefix)
     following = materialize(followers(shared, heads, percent), "followers")
-    parts = following.groupBy("leader").agg(F.ceil(F.count("*") / params.block).alias("parts"))
-    cells = following.join(parts, "leader").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")))
-    cells = materialize(cells.select("sid", "leader", F.xxhash64("leader", "part").alias("cell")), "cells")
+    cells = in_cells(following, params)
     stars = cells.select(F.col("cell").alias("block"), "sid").unionByName(cells.select(F.col("cell").alias("block"), F.col("leader").alias("sid")).distinct())
     first = materialize(join_blocks(df, key, classes, stars, counts, params), "links")
 
@@ -401,15 +531,33 @@ def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: Jo
     return first.unionByName(second)
 
 
+def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(sid, component_id): the least key of the classes that links join."""
+    joined = materialize(connected_components(links, "a", "b"), "components")
+    named = joined.withColumnRenamed("node", "sid").join(classes, "sid")
+    ids = materialize(named.groupBy("component").agg(F.min("rep").alias("id")), "ids")
+    linked = materialize(joined.join(ids, "component").select(F.col("node").alias("sid"), "id"), "linked")
+    return classes.join(linked, "sid", "left").select("sid", F.coalesce("id", "rep").alias("component_id"))
+
+
 def similarity_components(df: DataFrame, params: JoinParams = JoinParams(), key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id) of each row of (key, text): the least key reachable by links."""
     scanned = materialize(scan_sets(df, params, key), "sets-scan")
     rows = scanned.where("sketch is null").select("key", F.col("n").cast("long").alias("n"), "sid")
     classes = materialize(rows.where("sid is not null").groupBy("sid").agg(F.min("key").alias("rep")), "classes")
-    links = find_links(df, scanned, classes, params, key)
-    joined = materialize(connected_components(links, "a", "b"), "components")
-    named = joined.withColumnRenamed("node", "sid").join(classes, "sid")
-    ids = materialize(named.groupBy("component").agg(F.min("rep").alias("id")), "ids")
-    linked = materialize(joined.join(ids, "component").select(F.col("node").alias("sid"), "id"), "linked")
-    homes = classes.join(linked, "sid", "left").select("sid", F.coalesce("id", "rep").alias("component_id"))
+    homes = _components(classes, find_links(df, scanned, classes, params, key))
     return rows.join(homes, "sid", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
+
+
+def similarity_links(df: DataFrame, params: JoinParams = JoinParams(), key: str = "doc_id") -> DataFrame:
+    """(key, n_shingles, component_id, n_links) of each row: as ``similarity_components``, with the exact number of other
+    rows that the row is similar to (rows with an equal set are, those with an empty one are not)."""
+    scanned = materialize(scan_sets(df, params, key), "sets-scan")
+    rows = scanned.where("sketch is null").select("key", F.col("n").cast("long").alias("n"), "sid")
+    classes = materialize(rows.where("sid is not null").groupBy("sid").agg(F.min("key").alias("rep"), F.count("*").alias("copies")), "classes")
+    found = count_links(df, scanned, classes, params, key)
+    homes = _components(classes, found.where("b is not null"))
+    others = found.where("b is null").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("others"))
+    totals = classes.join(others, "sid", "left").select("sid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    out = rows.join(homes.join(totals, "sid"), "sid", "left")
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))

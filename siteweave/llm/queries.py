@@ -31,6 +31,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similarity_components(table(spark, sf_dir, "documents"), ngram_join.JoinParams(words=3, percent=90))
 
 
+def op3_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_links(table(spark, sf_dir, "documents"), ngram_join.JoinParams(words=3, percent=90))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer_path(), end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_warc_index": op2_warc_index,
     "op3_ngram_join": op3_ngram_join,
+    "op3_ngram_links": op3_ngram_links,
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
@@ -176,6 +181,21 @@ WITH RECURSIVE words AS (
 SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
 """
 
+_OP3_LINKS_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM words WHERE len(w) > 0
+), grams AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 2), ' ') AS g FROM places
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM grams a JOIN grams b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * i >= 90 * (s.n + t.n - i)
+), reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT a, y FROM reach JOIN links ON x = b
+), totals AS (SELECT x AS doc_id, count(*) AS n_links FROM links GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id) LEFT JOIN totals USING (doc_id)
+"""
+
 _OP5_SQL = r"""
 WITH lined AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
@@ -190,4 +210,4 @@ SELECT doc_id, CASE WHEN ps IS NULL THEN text ELSE array_to_string(list_filter(l
   coalesce(len(ls), 0)::BIGINT AS n_lines, coalesce(len(ps), 0)::BIGINT AS n_removed FROM lined LEFT JOIN gone USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op1_url_filters": _OP1_SQL, "op2_warc_index": _OP2_SQL, "op3_ngram_join": _OP3_SQL, "op5_line_dedup": _OP5_SQL, "op6_quality_rules": _OP6_SQL}
+ORACLES: dict[str, str] = {"op1_url_filters": _OP1_SQL, "op2_warc_index": _OP2_SQL, "op3_ngram_join": _OP3_SQL, "op3_ngram_links": _OP3_LINKS_SQL, "op5_line_dedup": _OP5_SQL, "op6_quality_rules": _OP6_SQL}

@@ -64,6 +64,20 @@ def test_components_equal_brute_force(spark, words, percent, block):
     assert got == brute(rows, words, percent)
 
 
+@pytest.mark.parametrize("words,percent,block", [(3, 90, 4), (5, 80, 64), (2, 60, 8)])
+def test_link_counts_equal_brute_force(spark, words, percent, block):
+    rows = corpus(words)
+    rows += [(len(rows) + i, t) for i, (_, t) in enumerate(rows[:60])]
+    components = brute(rows, words, percent)
+    rows += rows[60:64]
+    sets = [grams(t, words) for _, t in rows]
+    near = lambda a, b: bool(a and b) and 100 * len(a & b) >= percent * len(a | b)
+    want = sorted((k, *components[k], sum(near(s, o) for o in sets) - bool(s)) for (k, _), s in zip(rows, sets, strict=True))
+    assert max(r[3] for r in want) > 3 * block or block == 64
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, ngram_join.similarity_links(df, ngram_join.JoinParams(words, percent, block=block)).collect())) == want
+
+
 def test_trie_links_join_all_that_is_similar():
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 9, 1 << 8)
