@@ -4,6 +4,7 @@ A url's own longest rule decides first. A url without a rule takes its class's d
 redirect and canonical-link edges (a given redirect table, canonical links and refresh targets in the page, and
 spellings of one address), components are computed distributedly, and a component with a blocked member is
 blocked, unless it also has an explicitly allowed member: explicit allow has precedence. The rest is allowed.
+Members are all ends of edges, whether or not they are rows of pages.
 
 DataFrame functions only. Defined results: a null url, or one without ``://``, has empty host and path, no rule,
 no aliases and is allowed; repeated rows are judged each; a null html has no edges; extra columns pass through
@@ -63,12 +64,12 @@ def resolve(base: Column, target: Column) -> Column:
     )
 
 
-def page_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): alias keys joined by the canonical link or the refresh target of a page."""
+def page_links(pages: DataFrame) -> DataFrame:
+    """(from_url, to_url): the canonical link and the refresh target of a page."""
     marked = pages.where("url is not null and (html ilike '%canonical%' or html ilike '%refresh%')")
     target = lambda p: F.nullif(F.regexp_extract("html", p, 1), F.lit(""))
     links = marked.select("url", F.explode(F.array(target(CANONICAL), target(REFRESH))).alias("target")).where("target is not null")
-    return links.select(alias_key(F.col("url")).alias("a"), alias_key(resolve(F.col("url"), F.col("target"))).alias("b")).where("a <> b")
+    return links.select(F.col("url").alias("from_url"), resolve(F.col("url"), F.col("target")).alias("to_url"))
 
 
 def _parts(rule: str) -> tuple[str, str]:
@@ -104,15 +105,22 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFrame |
 
     ``redirects`` may hold (from_url, to_url). The page bodies are scanned once for edges and never shuffled.
     """
-    edges = page_edges(pages) if "html" in pages.columns else None
+    links = page_links(pages) if "html" in pages.columns else None
     if redirects is not None:
-        given = redirects.select(alias_key(F.col("from_url")).alias("a"), alias_key(F.col("to_url")).alias("b")).where("a <> b")
-        edges = given if edges is None else edges.unionByName(given)
+        given = redirects.select("from_url", "to_url")
+        links = given if links is None else links.unionByName(given)
     df = pages.drop("html").withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url")), "_key": alias_key(F.col("url"))})
     df = match_rules(df, rules)
-    votes = df.where("_key is not null").groupBy("_key").agg(F.max(F.col("rule_verdict") == "block").alias("blocked"), F.max(F.col("rule_verdict") == "allow").alias("allowed"))
-    if edges is None:
+    ballots = df.select("_key", "rule_verdict")
+    if links is None:
         edges = df.select(F.col("_key").alias("a"), F.col("_key").alias("b")).limit(0)
+    else:
+        keyed = links.withColumns({"a": alias_key(F.col("from_url")), "b": alias_key(F.col("to_url"))}).where("a is not null and b is not null")
+        edges = materialize(keyed, "url-links")
+        ends = edges.select(F.explode(F.array("from_url", "to_url")).alias("url"))
+        ends = ends.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), alias_key(F.col("url")).alias("_key"))
+        ballots = ballots.unionByName(match_rules(ends, rules).select("_key", "rule_verdict"))
+    votes = ballots.where("_key is not null").groupBy("_key").agg(F.max(F.col("rule_verdict") == "block").alias("blocked"), F.max(F.col("rule_verdict") == "allow").alias("allowed"))
     comps = materialize(connected_components(edges, "a", "b"), "url-components")
     joined = votes.join(comps.withColumnRenamed("node", "_key"), "_key", "left").withColumn("component", F.coalesce("component", "_key"))
     decided = joined.groupBy("component").agg(F.max("blocked").alias("blocked"), F.max("allowed").alias("allowed"))

@@ -57,6 +57,26 @@ def test_redirect_table(spark):
     assert {r.page_id: r.verdict for r in url_filters.judge(df, URL_RULES, moved).collect()} == {1: "block", 2: "block"}
 
 
+def test_edge_ends_that_are_no_pages(spark):
+    link = '<link href="{}" rel="canonical">'.format
+    rows = [
+        (1, "http://b.org/y", link("http://a.net/es/x")), (2, "http://c.org/", '<meta http-equiv="refresh" content="0; url=http://n.net/fr/1">'), (3, "http://c.org", None),
+        (4, "http://d.org/", link("http://n.net/fr/2")), (5, "http://e.org/", link("http://d.org/")), (6, "http://f.org/", link("http://shop.com/")),
+        (7, "http://g.org/", None), (8, "http://h.org/", None), (9, "no url", link("http://a.net/es/z")), (10, "http://net/es/", link("http://www.example.com/en/q")), (11, "http://i.org/", None),
+        (12, "http://j.org/", None),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    moved = [("http://g.org/", "http://a.net/es/r"), ("http://x.net/fr/old", "http://h.org/"), ("http://f.org", "http://n.net/es/f"), ("http://d.org/", "http://www.x.com/"), (None, "http://a.net/es/i"), ("http://j.org", None)]
+    moved = spark.createDataFrame(moved, "from_url string, to_url string")
+    want = {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "block", 8: "block", 9: "allow", 10: "block", 11: "allow", 12: "allow"}
+    many = [*URL_RULES, *(("block", f"other{i}.info/") for i in range(300))]
+    for rules in (URL_RULES, many):
+        out = url_filters.judge(df, rules, moved)
+        assert {r.page_id: r.verdict for r in out.collect()} == want and out.count() == len(rows)
+    alone = {r.page_id: r.verdict for r in url_filters.judge(df, URL_RULES).collect()}
+    assert alone[1] == alone[2] == alone[3] == alone[4] == alone[5] == "block" and alone[6] == alone[7] == alone[8] == "allow"
+
+
 def brute_repeats(words: list[str]) -> int:
     grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
     return len({i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(5)})
