@@ -2,7 +2,9 @@
 
 A long unbroken string is random if a tiktoken vocabulary needs many tokens for it: fewer than ``max_ratio``
 characters a token. Known digests (hex of a usual digest length, with or without a named algorithm before it)
-and identifiers (UUIDs, numbers, words joined by marks, camel case of known-looking words) are left out first.
+and identifiers (UUIDs, numbers, words joined by marks) are left out first. Letters alone are no reason to leave a
+string out: words, compounds and camel case have few tokens, random letters have many. Words joined by marks are
+letters whose every part between marks is one token or passes the test itself, as marks would cost a token each.
 The fixed patterns' spans always stay.
 
 Spans are (kind, start, end) in code points, end exclusive. Defined results: a null or empty text has no spans;
@@ -70,13 +72,19 @@ class Scanner:
             return True
         if len(string) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", string):
             return True
-        return not (re.search("[0-9]", string) and re.search("[A-Za-z]", string))
+        if not re.search("[A-Za-z]", string):
+            return True
+        parts = [x for x in re.split("[^A-Za-z0-9]+", string) if x]
+        return len(parts) > 1 and not re.search("[0-9]", string) and not any(self.is_costly(x) and len(self._encode(x)) > 1 for x in parts)
+
+    def is_costly(self, string: str) -> bool:
+        return len(string) < self.params.max_ratio * len(self._encode(string))
 
     def random_spans(self, text: str) -> list[Span]:
         out = []
         for m in self._long(text):
             string = m[0]
-            if not self.is_known(string) and len(string) < self.params.max_ratio * len(self._encode(string)):
+            if self.is_costly(string) and not self.is_known(string):
                 out.append((m.start(), 3, m.end()))
         return out
 

@@ -108,6 +108,17 @@ def test_token_efficiency():
         assert not found(f"x {known} y"), known
 
 
+def test_random_strings_without_digits():
+    scanner, rng = secret_scan.Scanner(), random.Random(3)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet in (lower, lower.upper(), lower + lower.upper(), lower + lower.upper() + "-_"):
+        for _ in range(200):
+            key = "".join(rng.choice(alphabet) for _ in range(24))
+            assert scanner.random_spans(f"key {key} end") == [(4, 3, 28)], key
+    for known in ("state-of-the-art-for-us", "USER_ID_OR_IP_IS_NULL", "etc/usr/bin/env/lib/so", "getHttpResponseCodeFromServer", "Donaudampfschifffahrtsgesellschaft", "2024-01-02-03-04-05-06", "-_-_-_-_/+/+/+/+/+/+"):
+        assert not scanner.random_spans(f"x {known} y"), known
+
+
 def test_redact(spark):
     rows = [(1, None, "k"), (2, "token = abcdefgh and password: hunter22 ok", "k"), (3, "clean", None), (4, "", "k")]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
