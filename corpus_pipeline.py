@@ -26,7 +26,7 @@ def _with_length(docs: DataFrame) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents that pass the base checks and their language's and source's fences."""
     names = docs.columns
-    return quality_rules.adaptive_filter(docs, carry=tuple(names)).where("kept").select(*names)
+    return quality_rules.adaptive_filter(docs, quality_rules.QualityParams(margin="spread"), carry=tuple(names)).where("kept").select(*names)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Everything is DataFrame functions. Per document, base counts; per (lang, source), quantile sketches of derived
 ratios; sketches merge upwards to (lang) and to all documents for groups too small to judge; the fences join
-back and reject outliers. Counts and sketches cover every row.
+back and reject outliers. Counts and sketches cover every row. With the margin "spread" the sketches set the
+fences; with "slack", the default, a stated least margin holds as well, which is the wider one for most groups.
 
 Defined results: a null text has no words and fails the base checks (fewer than ten words); null languages or
 sources are groups of their own; repeated rows are judged each; an empty table gives an empty result; extra
@@ -33,6 +34,18 @@ RATIOS = {
     "q_shouts": ("upper", 0.30),
 }
 
+#: ratio -> (what it is divided by, units that any document may have beyond the fence, quantiles whose distance is the spread).
+#: The allowance is per document, not per word: it covers short texts, where one unit is a large ratio, and fades with length.
+#: Repeats are rare in plain texts, so their quartiles are zero and their spread is that of the tail.
+SPREADS = {
+    "q_word_length": ("n_words", 30, (0.25, 0.75)),
+    "q_symbols": ("n_words", 5, (0.25, 0.75)),
+    "q_dup_lines": (None, 4, (0.25, 0.75)),
+    "q_repeats": ("n_words", 60, (0.5, 0.95)),
+    "q_capitals": ("word_chars", 10, (0.25, 0.75)),
+    "q_shouts": ("n_words", 5, (0.25, 0.75)),
+}
+
 
 @dataclass(frozen=True)
 class QualityParams:
@@ -41,6 +54,8 @@ class QualityParams:
     sketch_k: int = 1024
     fence: float = 4.0
     min_group: int = 50
+    #: "slack": at least the stated slack beyond the quartile; "spread": the sketched spread alone, and SPREADS' units per document.
+    margin: str = "slack"
 
 
 def _let(value: Column, body) -> Column:
@@ -117,7 +132,11 @@ def _fences(grouped: DataFrame, prefix: str, params: QualityParams) -> DataFrame
     cols = {}
     for ratio, (sides, slack) in RATIOS.items():
         q1, q3 = (F.kll_sketch_get_quantile_double(ratio, F.lit(q)) for q in (0.25, 0.75))
-        room = F.greatest(F.lit(slack), params.fence * (q3 - q1))
+        if params.margin == "spread":
+            low, high = (F.kll_sketch_get_quantile_double(ratio, F.lit(q)) for q in SPREADS[ratio][2])
+            room = params.fence * (high - low)
+        else:
+            room = F.greatest(F.lit(slack), params.fence * (q3 - q1))
         cols[f"{prefix}{ratio}_hi"] = q3 + room
         if sides == "both":
             cols[f"{prefix}{ratio}_lo"] = q1 - room
@@ -136,14 +155,23 @@ def thresholds(grouped: DataFrame, params: QualityParams = QualityParams()) -> D
     return out.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *(pick(c).alias(f"t_{c}") for c in names))
 
 
-def keep(scored: DataFrame, limits: DataFrame) -> DataFrame:
+def _beyond(ratio: str, more: Column, less: Column, params: QualityParams) -> Column:
+    """Whether ``more``, of a ratio and its fence, is so far over ``less`` that the document goes."""
+    if params.margin != "spread":
+        return F.coalesce(more > less, F.lit(False))
+    base, units, _ = SPREADS[ratio]
+    n = F.col(base) if base else F.when(F.col(ratio) > 0, F.col("n_dup_lines") / F.col(ratio))
+    return F.coalesce((more - less) * n > units, F.lit(False))
+
+
+def keep(scored: DataFrame, limits: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
     """Adds ``kept``: false if the base checks fail or a ratio is beyond its group's fence."""
     on = F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source"))
     outside = F.lit(False)
     for ratio, (sides, _) in RATIOS.items():
-        outside = outside | F.coalesce(F.col(ratio) > F.col(f"t_{ratio}_hi"), F.lit(False))
+        outside = outside | _beyond(ratio, F.col(ratio), F.col(f"t_{ratio}_hi"), params)
         if sides == "both":
-            outside = outside | F.coalesce(F.col(ratio) < F.col(f"t_{ratio}_lo"), F.lit(False))
+            outside = outside | _beyond(ratio, F.col(f"t_{ratio}_lo"), F.col(ratio), params)
     out = scored.join(limits, on, "left").withColumn("kept", ~F.col("base_failed") & ~outside)
     return out.drop(*(c for c in limits.columns))
 
@@ -156,4 +184,4 @@ def adaptive_filter(df: DataFrame, params: QualityParams = QualityParams(), carr
     if "text" not in carry:
         scored = materialize(scored.drop("text"), "quality")
     limits = small_side(materialize(thresholds(sketches(scored, params), params), "fences"))
-    return keep(scored, limits)
+    return keep(scored, limits, params)

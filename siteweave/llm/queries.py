@@ -49,6 +49,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_quality_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.adaptive_filter(table(spark, sf_dir, "documents"), quality_rules.QualityParams(margin="spread"), carry=("doc_id",))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op6_quality_spread": op6_quality_spread,
     "op7_secret_scans": op7_secret_scans,
     "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,

@@ -107,6 +107,29 @@ def test_fences_reject_outliers_alone(spark):
     assert quality_rules.adaptive_filter(df.limit(0), carry=("doc_id",)).count() == 0
 
 
+def test_spread_sets_the_fences(spark):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    plain = lambda n: " ".join([word().capitalize(), *(word() for _ in range(n - 1))])
+    rows = [(i, plain(rng.choice([12, 40, 400])), "en", ["s", "rare"][i % 40 == 0]) for i in range(400)]
+    line = plain(10)
+    rows += [(500, "\n".join([line, line, *(plain(10) for _ in range(8))]), "en", "s"), (501, plain(12) + " $ $", "en", "s"), (502, "ABC DEF " + plain(12), "en", "s")]
+    passage = plain(60)
+    rows += [
+        (1000, " ".join(w.upper() if i % 4 == 0 else w for i, w in enumerate(plain(200).split())), "en", "s"), (1001, " ".join(f"{w}$" if i % 5 == 0 else w for i, w in enumerate(plain(200).split())), "en", "s"),
+        (1002, " ".join(w + word()[:3] for w in plain(400).split()), "en", "rare"), (1003, "\n".join(plain(5) for _ in range(30)) + "\n" + "\n".join(["ab cd"] * 6), "en", "s"),
+        (1004, f"{plain(400)} {passage} {plain(400)} {passage} {plain(100)}", "en", "s"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {}
+    for margin in ("slack", "spread"):
+        judged = quality_rules.adaptive_filter(df, quality_rules.QualityParams(margin=margin), carry=("doc_id",)).collect()
+        assert len(judged) == len(rows)
+        out[margin] = {r.doc_id for r in judged if not r.kept}
+        assert not any(r.base_failed for r in judged)
+    assert out == {"slack": set(), "spread": {1000, 1001, 1002, 1003, 1004}}
+
+
 def brute_dedup(rows):
     texts = sorted({(k, t) for k, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
     seen, gone = {}, {}
