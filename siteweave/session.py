@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -32,10 +33,12 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, as in tests in one process,
-    a folder that goes when the process ends."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset in one process, as in tests,
+    a folder that goes when the process ends; on a cluster no folder of one machine will do."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         own = tempfile.mkdtemp(prefix="siteweave-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         where = f"file://{own}"
