@@ -4,16 +4,20 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from ..session import ship, work_path
 from ..session import written as materialize
 
-__all__ = ["BROADCAST_ROWS", "Output", "RangeReader", "discard", "filesystem", "materialize", "small_side", "table", "work_path"]
+__all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "Output", "RangeReader", "discard", "filesystem", "let", "map_arrow", "materialize", "parts_for", "small_side", "table", "work_path"]
 
-#: A side is broadcast only if a count has shown it to have at most this many (narrow) rows.
+#: A side is broadcast only if it has been found to have at most this many rows and bytes of values.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
+#: Files and bodies that one task reads back.
+READ_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +32,38 @@ def discard(*frames: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a materialized frame for broadcast if its row count is within the limit; else a shuffle join remains."""
-    return F.broadcast(df) if df.count() <= limit else df
+def let(value: Column, body) -> Column:
+    """``body`` of the value, which is written and evaluated once however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def map_arrow(df: DataFrame, function, schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with this package sent to the workers first."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+def _bytes_of(column: Column, kind) -> Column:
+    """Bytes of a value, 8 for one of a fixed size."""
+    if isinstance(kind, StringType | BinaryType):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+    if isinstance(kind, ArrayType) and not isinstance(kind.elementType, ArrayType | MapType | StructType | StringType | BinaryType):
+        return F.greatest(F.size(column), F.lit(0)) * 8 + 16
+    if isinstance(kind, ArrayType | MapType | StructType):
+        return F.length(F.to_json(F.struct(column.alias("x"))))
+    return F.lit(8)
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Marks a materialized frame for broadcast if its rows and its values' bytes are within the limits; else a shuffle join remains."""
+    each = sum((_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema), F.lit(0)).cast("long")
+    n, total = df.agg(F.count("*"), F.coalesce(F.sum(each), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and total <= size else df
+
+
+def parts_for(spark: SparkSession, size: int) -> int:
+    """Tasks to read ``size`` bytes of files back: by bytes, and enough to occupy the cores where files are small."""
+    return max(-(-size // READ_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // (READ_BYTES >> 5)), 256), 1)
 
 
 def filesystem(uri: str):

@@ -12,6 +12,7 @@ whole; an empty table gives an empty result; extra columns are not carried.
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -22,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import map_arrow
+
 UNIT = 64
 PACKET_SAMPLES = 4096
 SAMPLE_RATE = 8000
@@ -174,7 +177,14 @@ def store_texts(df: DataFrame, key: str = "doc_id") -> DataFrame:
                     media.append(encode(pad(raw), struct.pack("<Q", len(raw))))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(media, pa.binary())], [key, "media"])
 
-    return df.select(key, "text").mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, media binary")
+    return map_arrow(df.select(key, "text"), run, f"`{key}` {df.schema[key].dataType.simpleString()}, media binary")
+
+
+def levels_of(payload: bytes) -> tuple[float, float]:
+    """Mean and deviation of the sample levels, from whole-number sums, so that no machine's arithmetic shows in them."""
+    counts = [int(c) for c in np.bincount(np.frombuffer(payload, np.uint8), minlength=256)]
+    n, total, squares = len(payload), sum(i * c for i, c in enumerate(counts)), sum(i * i * c for i, c in enumerate(counts))
+    return total / n, math.sqrt((squares * n - total * total) / (n * n))
 
 
 def features(df: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -191,13 +201,11 @@ def features(df: DataFrame, key: str = "doc_id") -> DataFrame:
             for cell in batch.column(1):
                 media = cell.as_py()
                 payload, n_bytes, stream = read_payload(media)
-                levels = np.frombuffer(payload, np.uint8)
-                mean = float(levels.mean())
-                spread = float(np.sqrt(max(0.0, float(np.dot(levels.astype(np.float32), levels.astype(np.float32))) / len(levels) - mean * mean)))
+                mean, spread = levels_of(payload)
                 feature = f"pages={stream.pages} packets={len(stream.packets) - 1} seconds={stream.times[-1]:.3f} mean={mean:.3f} deviation={spread:.2f}"
                 rows.append((n_bytes, len(payload), sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), sha256(media).hexdigest(), feature))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], [key, *names])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, "media").mapInArrow(run, f"`{key}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return map_arrow(df.select(key, "media"), run, f"`{key}` {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
