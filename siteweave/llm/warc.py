@@ -1,7 +1,8 @@
 """WARC archives with a two-level capture index.
 
 Writing: one archive per task (rolled over at a size), each record its own gzip member. Of records with equal
-payloads the one of the least page id is a response, the others revisits that refer to it. Whether a page is a
+payloads the one of the least page id is a response, the others revisits that refer to it. Payloads are equal if their
+lengths and SHA-256 digests are (records also bear the usual SHA-1 digest, which alone would not do). Whether a page is a
 revisit is found from digests alone; bodies are not shuffled unless repeated digests are too many to broadcast.
 
 Index: (reversed-host url, page id) keys are range-partitioned and sorted; each partition is an index shard of
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Output, RangeReader, materialize, small_side, work_path
+from .common import Output, RangeReader, map_arrow, materialize, parts_for, small_side, work_path
 from .url_filters import host_of, path_of
 
 CRLF = b"\r\n"
@@ -115,13 +116,14 @@ class Archive:
     folder: str
     manifest: DataFrame
     shards: list[tuple[str, str, int, int]]
+    size: int  # bytes of records
 
 
 def write(pages: DataFrame, params: WarcParams = WarcParams()) -> Archive:
     """Writes a record per row of (page_id, url, html), then the capture index."""
     folder = work_path(pages.sparkSession, "warc")
     html = F.coalesce("html", F.lit(""))
-    base = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("sha"), F.octet_length(html).alias("size"))
+    base = pages.select("page_id", "url", html.alias("html"), F.unhex(F.sha2(html.cast("binary"), 256)).alias("sha"), F.octet_length(html).alias("size"))
     groups = base.where(F.col("size") >= params.min_revisit_bytes).groupBy("sha", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
     repeated = materialize(groups.where("n > 1").drop("n"), "repeated")
     typed = base.join(small_side(repeated), ["sha", "size"], "left")
@@ -149,8 +151,9 @@ def write(pages: DataFrame, params: WarcParams = WarcParams()) -> Archive:
         if out is not None:
             out.close()
 
-    manifest = materialize(rows.mapInArrow(run, "key string, file string, at long, length long"), "captures")
-    return Archive(folder, manifest, write_index(manifest, folder, params))
+    manifest = materialize(map_arrow(rows, run, "key string, file string, at long, length long"), "captures")
+    size = manifest.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return Archive(folder, manifest, write_index(manifest, folder, params), size)
 
 
 def write_index(manifest: DataFrame, folder: str, params: WarcParams) -> list[tuple[str, str, int, int]]:
@@ -180,7 +183,7 @@ def write_index(manifest: DataFrame, folder: str, params: WarcParams) -> list[tu
             yield pa.RecordBatch.from_arrays([pa.array([start]), pa.array([out.name]), pa.array([at], pa.int64()), pa.array([len(table)], pa.int64())], ["start", "file", "at", "length"])
 
     ordered = manifest.repartitionByRange("key", "file", "at").sortWithinPartitions("key", "file", "at")
-    shards = materialize(ordered.mapInArrow(run, "start string, file string, at long, length long"), "shards")
+    shards = materialize(map_arrow(ordered, run, "start string, file string, at long, length long"), "shards")
     return sorted(((r.start, r.file, r.at, r.length) for r in shards.collect()), key=lambda s: (s[0], s[1]))  # a row per file
 
 
@@ -247,7 +250,7 @@ def locate(archive: Archive, requests: DataFrame) -> DataFrame:
         index.close()
 
     ordered = requests.select("request").distinct().repartitionByRange("request").sortWithinPartitions("request")
-    return ordered.mapInArrow(run, "request string, key string, file string, at long, length long")
+    return map_arrow(ordered, run, "request string, key string, file string, at long, length long")
 
 
 def read(archive: Archive, located: DataFrame) -> DataFrame:
@@ -276,5 +279,7 @@ def read(archive: Archive, located: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
         reader.close()
 
-    ordered = located.select("file", "at", "length").repartitionByRange("file", "at").sortWithinPartitions("file", "at")
-    return ordered.mapInArrow(run, "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
+    # as many tasks as the archives' bytes ask for, whatever the size of the rows that point to them
+    tasks = parts_for(located.sparkSession, archive.size)
+    ordered = located.select("file", "at", "length").repartitionByRange(tasks, "file", "at").sortWithinPartitions("file", "at")
+    return map_arrow(ordered, run, "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary")
