@@ -9,8 +9,8 @@ no padding.
 
 Each partition is packed on its own in one pass, with a bounded number of waiting pieces, so nothing is shuffled
 and a lost task is simply run again. Defined results: a null or empty text is a document of its end token alone;
-repeated rows are packed each; texts of any length are cut into pieces, every token in exactly one; an empty
-table gives no pieces; extra columns are not carried.
+repeated rows are packed each; texts of any length are cut into pieces, every token in exactly one; of pieces with equal
+dot products the one that came first goes in; an empty table gives no pieces; extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -22,7 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from .common import map_arrow
 from .tokens import word_encoder
 
 
@@ -189,7 +191,7 @@ def _schema(kind: str, key: str) -> str:
     return f"`{key}` {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
-def pack_documents(df: DataFrame, tokenizer: str, end_id: int, params: PackParams = PackParams(), key: str = "doc_id") -> DataFrame:
+def pack_documents(df: DataFrame, tokenizer: str, end_id: int, params: PackParams = PackParams(), key: str = "doc_id", special_as_text: bool = False) -> DataFrame:
     """Encodes (key, text), ends each document with ``end_id`` and packs all of it.
 
     Rows are pieces: (key, start, length, doc_tokens, sequence_id, offset, ids as little-endian unsigned 32-bit).
@@ -197,16 +199,16 @@ def pack_documents(df: DataFrame, tokenizer: str, end_id: int, params: PackParam
     end = int(end_id).to_bytes(4, "little")
 
     def examples(batch: pa.RecordBatch) -> Iterator[Example]:
-        encode = word_encoder(tokenizer).encode
+        encode = word_encoder(tokenizer, special_as_text).encode
         for k, text in zip(batch.column(0), batch.column(1), strict=True):
             yield Example(k.as_py(), encode(text.as_py() or "") + end)
 
     df = df.select(key, "text")
-    return df.mapInArrow(_packed(examples, params, key, _arrow(df, key)), _schema(df.schema[key].dataType.simpleString(), key))
+    return map_arrow(df, _packed(examples, params, key, _arrow(df, key)), _schema(df.schema[key].dataType.simpleString(), key))
 
 
 def pack_examples(df: DataFrame, params: PackParams = PackParams(), key: str = "doc_id") -> DataFrame:
-    """Packs (key, ids array<int>, loss_mask array<boolean>), e.g. conversations whose answers alone bear loss.
+    """Packs (key, ids array<int>, loss_mask array<boolean>), where any token may bear loss or not.
 
     A null or short mask counts as false beyond its end; a null ids column is an empty example, which has no pieces.
     """
@@ -220,7 +222,30 @@ def pack_examples(df: DataFrame, params: PackParams = PackParams(), key: str = "
             yield Example(k.as_py(), ids.tobytes(), np.cumsum(loss))
 
     df = df.select(key, "ids", "loss_mask")
-    return df.mapInArrow(_packed(examples, params, key, _arrow(df, key)), _schema(df.schema[key].dataType.simpleString(), key))
+    return map_arrow(df, _packed(examples, params, key, _arrow(df, key)), _schema(df.schema[key].dataType.simpleString(), key))
+
+
+def pack_turns(turns: DataFrame, tokenizer: str, end_id: int, params: PackParams, bearing: tuple[str, ...] = ("assistant",), special_as_text: bool = False) -> DataFrame:
+    """Packs each row of (conv_id, turn, role, text) as one example; the tokens of the ``bearing`` roles bear loss, the end token too.
+
+    Rows are pieces: key (a struct of conv_id and turn), start, length, doc_tokens, sequence_id, offset, ids, and ``bears``,
+    whether the piece's tokens bear loss. Turns are not gathered by conversation, so none can outgrow a task. A null text is the
+    empty one; a null role bears no loss.
+    """
+    end = int(end_id).to_bytes(4, "little")
+
+    def examples(batch: pa.RecordBatch) -> Iterator[Example]:
+        encode = word_encoder(tokenizer, special_as_text).encode
+        for key, role, text in zip(*(batch.column(i) for i in range(3)), strict=True):
+            ids, role = encode(text.as_py() or "") + end, role.as_py()
+            loss = None if role in bearing else np.zeros(len(ids) // 4 + 1, np.int64)
+            yield Example({**key.as_py(), "bears": loss is None}, ids, loss)
+
+    key = F.struct("conv_id", "turn")
+    rows = turns.select(key.alias("key"), "role", "text")
+    kind = turns.select(F.struct("conv_id", "turn", F.lit(True).alias("bears")).alias("key"))
+    packed = map_arrow(rows, _packed(examples, params, "key", _arrow(kind, "key")), _schema(kind.schema["key"].dataType.simpleString(), "key"))
+    return packed.select(F.struct("key.conv_id", "key.turn").alias("key"), "start", "length", "doc_tokens", "sequence_id", "offset", "ids", F.col("key.bears").alias("bears"))
 
 
 def _arrow(df: DataFrame, key: str) -> pa.DataType:

@@ -30,7 +30,7 @@ def _byte_letters() -> dict[int, str]:
 
 BYTE_LETTERS = _byte_letters()
 
-_loaded: dict[str, "WordEncoder"] = {}
+_loaded: dict[tuple[str, bool], "WordEncoder"] = {}
 
 
 def word_tokenizer_path() -> str:
@@ -72,14 +72,18 @@ class _Pieces(dict):
 
 
 class WordEncoder:
-    """encode(text) -> ids as little-endian unsigned 32-bit bytes, equal to the library's ids of the whole text."""
+    """encode(text) -> ids as little-endian unsigned 32-bit bytes, equal to the library's ids of the whole text.
 
-    def __init__(self, path: str):
+    As the library does by default, a special token's string in a text gives that token; with ``special_as_text`` it is
+    ordinary text, so that no document can write a special token.
+    """
+
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = special_as_text
         self._pieces = _Pieces(tokenizer)
 
     def encode(self, text: str) -> bytes:
@@ -87,8 +91,15 @@ class WordEncoder:
         return b"".join(map(self._pieces.__getitem__, pieces))
 
 
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and file."""
-    if path not in _loaded:
-        _loaded[path] = WordEncoder(path)
-    return _loaded[path]
+def word_encoder(path: str, special_as_text: bool = False) -> WordEncoder:
+    """One encoder per Python worker, file and reading of special tokens."""
+    if (path, special_as_text) not in _loaded:
+        _loaded[path, special_as_text] = WordEncoder(path, special_as_text)
+    return _loaded[path, special_as_text]
+
+
+def vocabulary_size(path: str) -> int:
+    """One more than the largest id of the tokenizer, special tokens included."""
+    from tokenizers import Tokenizer
+
+    return 1 + max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values())

@@ -59,3 +59,38 @@ def test_documents(spark):
 def test_examples(spark):
     df = spark.createDataFrame([(1, [5, 6, 7], [False, True, True]), (2, None, None), (3, [9], None)], "doc_id long, ids array<int>, loss_mask array<boolean>")
     assert sorted((r.doc_id, r.length) for r in packing.pack_examples(df.coalesce(1), packing.PackParams(4, 4, 2)).collect()) == [(1, 3), (3, 1)]
+
+
+def test_turns_against_brute_force(spark):
+    """All pieces of turns with real loss marks: the three limits, whole turns, lengths without padding."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 8)))
+    rows = [(i // 4, i % 4, ["user", "assistant"][i % 2], " ".join(word() for _ in range(rng.choice([3, 40, 400])))) for i in range(400)]
+    rows += [(900, 0, None, None), (900, 1, "assistant", ""), (900, 1, "assistant", ""), (None, None, "assistant", "x " * 3000), (901, 0, "system", "y " * 3000)]
+    params = packing.PackParams(512, 6, 200)
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+    out = packing.pack_turns(df, word_tokenizer_path(), 1, params).collect()
+    sequences: dict = {}
+    pieces: dict = {}
+    for r in out:
+        sequences.setdefault(r.sequence_id, []).append(r)
+        pieces.setdefault((r.key.conv_id, r.key.turn), []).append(r)
+    full = 0
+    for s in sequences.values():
+        s.sort(key=lambda r: r.offset)
+        total = sum(r.length for r in s)
+        assert [r.offset for r in s] == [sum(x.length for x in s[:i]) for i in range(len(s))]
+        assert total <= 512 and len(s) <= 6 and sum(r.length for r in s if r.bears) <= 200 and (total == 512 or total & (total - 1) == 0)
+        full += total == 512
+    bound = {"segments": any(len(s) == 6 for s in sequences.values()), "loss": any(sum(r.length for r in s if r.bears) == 200 for s in sequences.values()), "tokens": full > 0}
+    assert all(bound.values()), bound
+    encode = word_encoder(word_tokenizer_path()).encode
+    want: dict = {}
+    for c, t, role, text in rows:
+        want.setdefault((c, t), []).append((encode(text or "") + b"\1\0\0\0", role == "assistant"))
+    assert set(want) == set(pieces)
+    for k, texts in want.items():
+        assert sum(r.length for r in pieces[k]) == sum(len(ids) // 4 for ids, _ in texts) and {r.bears for r in pieces[k]} == {b for _, b in texts}
+        if len(texts) == 1:
+            assert b"".join(bytes(r.ids) for r in sorted(pieces[k], key=lambda r: r.start)) == texts[0][0]
+    assert packing.pack_turns(df.limit(0), word_tokenizer_path(), 1, params).count() == 0
