@@ -3,11 +3,12 @@
 For each byte prefix of a piece the table keeps the one token that ends the prefix's encoding. Token t may end
 prefix i if it is the prefix's suffix, encodes to itself, and the pair (last token of the prefix before t, t)
 encodes to itself; exactly one token qualifies, because a sequence is an encoding just if all its neighbours are.
-The table answers every prefix, so bytes append exactly, and an edit recomputes the table from the edit on.
-Decoding joins the tokens' bytes.
+The table answers every prefix, so bytes append exactly. An entry depends on the bytes and entries of the longest
+token's length before it, so an edit recomputes from its place on until that many entries are the old ones; the rest of
+the old table is kept. Decoding joins the tokens' bytes.
 
 Defined results of ``encode_documents``: a null text is the empty text with no ids; repeated rows repeat; texts
-of any length are encoded whole; an empty table gives an empty result; extra columns pass through if carried.
+of any length are encoded whole; an empty table gives an empty result; extra columns of any name are not carried.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import map_arrow
+
 CACHE_ENTRIES = 400_000
 PAIR_ENTRIES = 2_000_000
 _loaded: dict[tuple[str, str], "PieceEncoder"] = {}
@@ -131,11 +134,20 @@ class PrefixTable:
         if done < len(self.data):
             raise ValueError("a byte has no token")
 
-    def edit(self, start: int, end: int, new: bytes) -> None:
-        """Replaces data[start:end]; the table up to ``start`` stays, the rest is computed anew."""
-        tail = self.data[end:]
-        self.data, self.last = self.data[:start], self.last[: start + 1]
-        self.append(new + tail)
+    def edit(self, start: int, end: int, new: bytes) -> int:
+        """Replaces data[start:end] and returns how many entries were computed: those from ``start`` on until the tables meet."""
+        old, tail, reach = self.last, self.data[end:], self.vocabulary.longest
+        self.data, self.last = self.data[:start], old[: start + 1]
+        self.append(new)
+        shift, at, step = len(self.data) - end, 0, reach
+        while at < len(tail):
+            self.append(tail[at : at + step])
+            at, step = at + step, 2 * step
+            n = len(self.data)
+            if reach <= at < len(tail) and self.last[n + 1 - reach :] == old[n + 1 - reach - shift : n + 1 - shift]:
+                self.data, self.last = self.data + tail[at:], self.last + old[n + 1 - shift :]
+                return n - start
+        return len(self.data) - start
 
     def ids(self, end: int | None = None) -> list[int]:
         """The encoding of the first ``end`` bytes, read backwards along the table."""
@@ -216,7 +228,7 @@ def encode_documents(df: DataFrame, path: str, pattern: str, key: str = "doc_id"
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())], [key, "ids", "decoded"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, "text").mapInArrow(run, f"`{key}` {kind}, ids array<int>, decoded binary")
+    return map_arrow(df.select(key, "text"), run, f"`{key}` {kind}, ids array<int>, decoded binary")
 
 
 def encoding_digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
@@ -234,4 +246,4 @@ def encoding_digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()), pa.array(byte_hashes, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, "text").mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_arrow(df.select(key, "text"), run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

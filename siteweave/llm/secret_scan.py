@@ -1,11 +1,12 @@
 """Secret scans: fixed patterns, and a token-efficiency test for random strings.
 
 A long unbroken string is random if a tiktoken vocabulary needs many tokens for it: fewer than ``max_ratio``
-characters a token. Known digests (hex of a usual digest length, with or without a named algorithm before it)
-and identifiers (UUIDs, numbers, words joined by marks) are left out first. Letters alone are no reason to leave a
-string out: words, compounds and camel case have few tokens, random letters have many. Words joined by marks are
-letters whose every part between marks is one token or passes the test itself, as marks would cost a token each.
-The fixed patterns' spans always stay.
+characters a token. Known digests and identifiers are left out first: digests are hex of a usual length, or hex or base 64
+behind an algorithm's name, identifiers are UUIDs, numbers, and plain parts joined by marks. Digests and UUIDs may stand in
+a path or behind a name; the rest of the string must then be plain parts. Plain is a number, a word (letters that are one
+token or pass the test themselves, as marks would cost a token each), or a word of one token with up to four digits at
+one end. Letters alone are no reason to leave a string out: words, compounds and camel case have few tokens, random
+letters have many. The fixed patterns' spans always stay.
 
 Spans are (kind, start, end) in code points, end exclusive. Defined results: a null or empty text has no spans;
 repeated rows repeat; texts of any length are scanned whole; an empty table gives an empty result; extra columns
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .byte_bpe import read_ranks
+from .common import map_arrow
 
 # Fixed values of the base patterns.
 ASSIGN = r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -31,8 +33,13 @@ HEX = r"[0-9a-f]+"
 KINDS = ("assign", "access", "hex", "random")
 SHORTEST = {"assign": 6, "access": 20, "hex": 24}
 
-UUID = re.compile(r"(?i)[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}")
-DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
+#: UUIDs, hex of the usual digest lengths, and digests behind an algorithm's name.
+KNOWN = re.compile(
+    r"(?i)(?<![a-z0-9])(?:[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}|(?:(?:md5|sha-?[0-9]{1,3}|sha3-[0-9]{3}|blake2[bs])[-_/=]?)?(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"
+    r"|sha(?:256-[a-z0-9+/]{43}=?|384-[a-z0-9+/]{64}|512-[a-z0-9+/]{86}(?:==)?))(?![a-z0-9])"
+)
+PART = re.compile("[A-Za-z0-9]+")
+NUMBERED = re.compile("([A-Za-z]+)[0-9]{1,4}|[0-9]{1,4}([A-Za-z]+)")
 
 
 @dataclass(frozen=True)
@@ -68,14 +75,17 @@ class Scanner:
 
     def is_known(self, string: str) -> bool:
         """Digests and identifiers, which are no secrets however random they look."""
-        if UUID.fullmatch(string):
-            return True
-        if len(string) in DIGEST_LENGTHS and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", string):
-            return True
-        if not re.search("[A-Za-z]", string):
+        rest = KNOWN.sub("-", string)
+        parts = PART.findall(rest)
+        return (len(parts) != 1 or rest != string or parts[0].isdigit()) and all(map(self.is_plain, parts))
+
+    def is_plain(self, part: str) -> bool:
+        if part.isdigit():
             return True
-        parts = [x for x in re.split("[^A-Za-z0-9]+", string) if x]
-        return len(parts) > 1 and not re.search("[0-9]", string) and not any(self.is_costly(x) and len(self._encode(x)) > 1 for x in parts)
+        if part.isalpha():
+            return not self.is_costly(part) or len(self._encode(part)) == 1
+        match = NUMBERED.fullmatch(part)
+        return bool(match) and len(self._encode(match[1] or match[2])) == 1
 
     def is_costly(self, string: str) -> bool:
         return len(string) < self.params.max_ratio * len(self._encode(string))
@@ -116,7 +126,7 @@ def scan(df: DataFrame, params: ScanParams = ScanParams(), key: str = "doc_id")
             found = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in find(text.as_py() or "")] for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], [key, "spans"])
 
-    return df.select(key, "text").mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, spans array<struct<kind:string,start:long,end:long>>")
+    return map_arrow(df.select(key, "text"), run, f"`{key}` {df.schema[key].dataType.simpleString()}, spans array<struct<kind:string,start:long,end:long>>")
 
 
 def span_digests(scanned: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -162,4 +172,4 @@ def redact(df: DataFrame, params: ScanParams = ScanParams(), mark: str = "[SECRE
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)

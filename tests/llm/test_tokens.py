@@ -63,14 +63,34 @@ def test_prefix_table(coder):
         assert table.data == data[:a] + b"new" + data[b:] and table.ids() == one(table.data)
 
 
-def test_word_encoder_equals_the_library():
+@pytest.mark.parametrize("special_as_text", [False, True])
+def test_word_encoder_equals_the_library(special_as_text):
     tokenizer = Tokenizer.from_file(tokens.word_tokenizer_path())
-    tokenizer.encode_special_tokens = True
-    encoder = tokens.WordEncoder(tokens.word_tokenizer_path())
-    for text in texts(4000):
+    if special_as_text:
+        tokenizer.encode_special_tokens = True
+    encoder = tokens.WordEncoder(tokens.word_tokenizer_path(), special_as_text)
+    special = ["<|endoftext|> hi", "a<|startoftext|>B<|ENDOFTEXT|>", "<|endoftext|>" * 3, "< |endoftext|>", "<|endof text|>"]
+    assert (49407 in np.frombuffer(encoder.encode(special[0]), "<u4")) is not special_as_text
+    for text in (*special, *texts(4000)):
         assert encoder.encode(text) == np.asarray(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_edits_stop_where_the_tables_meet(coder):
+    """An edit computes entries near it alone, as many in a text of 2,000 bytes as in one of 200,000."""
+    rng = random.Random(7)
+    text = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 9))) for _ in range(40_000)).encode()
+    reach, most = coder.vocabulary.longest, {}
+    for size in (2000, 200_000):
+        table = byte_bpe.PrefixTable(coder.vocabulary, text[:size])
+        for _ in range(20):
+            a = rng.randint(0, size // 2)
+            data, b, new = table.data, a + rng.randint(0, 9), bytes(rng.choice(b"xyz ") for _ in range(rng.randint(0, 9)))
+            most[size] = max(most.get(size, 0), table.edit(a, b, new))
+            assert table.data == data[:a] + new + data[b:]
+        assert table.last == byte_bpe.PrefixTable(coder.vocabulary, table.data).last
+    assert most[200_000] <= 3 * reach + 20 < 200_000 and most[2000] <= 3 * reach + 20
+
+
 def test_byte_bpe_columns(spark, plain):
     rows = [(1, None), (2, ""), (3, "some text"), (3, "some text"), (4, "é" * 50_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -119,6 +139,40 @@ def test_random_strings_without_digits():
         assert not scanner.random_spans(f"x {known} y"), known
 
 
+def test_random_strings_against_look_alikes():
+    """The method on labelled strings: what looks random and is a secret, and what only looks it."""
+    import hashlib
+    import string
+    import uuid
+
+    scanner, rng = secret_scan.Scanner(), random.Random(11)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    base62, words = string.ascii_letters + string.digits, ["table", "backup", "user", "session", "index", "report", "final", "draft", "Config", "Server", "http", "log", "page", "data", "my"]
+    secrets = [
+        make() for _ in range(300) for make in (
+            lambda: pick(base62, rng.randint(20, 60)), lambda: pick(base62 + "+/", 40) + "==", lambda: pick(string.ascii_lowercase + string.digits, 32).replace("a", "g"), lambda: f"sk-{pick(base62, 32)}",
+            lambda: f"key_{pick(base62, 10)}-{pick(base62, 14)}", lambda: pick(string.ascii_letters, 24), lambda: pick(string.ascii_uppercase + string.digits, 26),
+        )
+    ]
+    plain = [
+        make() for _ in range(300) for make in (
+            lambda: f"sha256-{hashlib.sha256(pick(base62, 9).encode()).hexdigest()}", lambda: f"sha384-{pick(base62 + '+/', 64)}", lambda: hashlib.md5(pick(base62, 9).encode()).hexdigest().upper(),
+            lambda: str(uuid.UUID(int=rng.getrandbits(128))), lambda: f"/{rng.choice(words)}/b/{uuid.UUID(int=rng.getrandbits(128))}/", lambda: f"{uuid.UUID(int=rng.getrandbits(128))}/{rng.choice(words)}",
+            lambda: f"my_table_{rng.randint(2000, 2030)}_{rng.randint(1, 12):02d}_15_backup_v{rng.randint(1, 9)}", lambda: "_".join(rng.choice(words) for _ in range(6)), lambda: "-".join(str(rng.randint(0, 99999)) for _ in range(5)),
+            lambda: "".join(rng.choice(words).capitalize() for _ in range(6)), lambda: "/".join(rng.choice(words) for _ in range(7)), lambda: pick(string.digits, 30), lambda: f"git/{hashlib.sha1(pick(base62, 9).encode()).hexdigest()}",
+        )
+    ]
+    hit = lambda s: any(a <= 4 and b >= len(s) for a, _, b in scanner.random_spans(f"see {s} here"))
+    found, wrong = sum(map(hit, secrets)), sum(bool(scanner.random_spans(f"see {s} here")) for s in plain)
+    assert found / len(secrets) >= 0.98 and found / (found + wrong) >= 0.99, (found, len(secrets), wrong, len(plain))
+
+
+def test_very_long_texts():
+    scanner = secret_scan.Scanner()
+    text = "plain words and more " * 100_000 + "q8Zr4Lw0Xk2Vb7Nc5Ty9" + " x" * 100_000
+    assert scanner.spans(text) == [(2_100_000, 3, 2_100_020)]
+
+
 def test_redact(spark):
     rows = [(1, None, "k"), (2, "token = abcdefgh and password: hunter22 ok", "k"), (3, "clean", None), (4, "", "k")]
     df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
