@@ -6,11 +6,15 @@ hash over a share of the keys and, per slot, a stored fingerprint, the shard, th
 hashes the key to its part and slot, compares the fingerprint (so a key that is not there is not found), and
 makes one range read. A repeated key is told apart by its occurrence number.
 
-The hash is a cascade of bit tables: on each level, keys that alone have a position keep it, the others move on.
+The hash is a cascade of bit tables: on each level, keys that alone have a position keep it, the others move on. Tables are
+stored in blocks of 512 bits behind the number of bits set before them, so a single lookup reads a block a level (1.6 on
+the average) and one slot, whatever the number of keys. Many lookups in one part read it once instead.
 
 Files of a task attempt have names of their own; only rows of committed manifests refer to them, so a task run
 again leaves an unused file at worst. Defined results: null texts are documents of the end id alone; a null key
-is a key; repeated rows are stored each; texts of any length are stored whole; an empty table has no files.
+is a key; repeated rows are stored each, also where one key has more rows than a task should take; a request made twice
+is answered once; texts of any length are stored whole; an empty table has no files; extra columns of any name are not
+carried; an id that the width of the files can't hold is an error.
 """
 
 from __future__ import annotations
@@ -25,13 +29,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Output, RangeReader, materialize, work_path
-from .tokens import word_encoder
+from .common import Output, RangeReader, filesystem, map_arrow, materialize, parts_for, work_path
+from .tokens import vocabulary_size, word_encoder
 
 MAGIC = b"TOKIDS"
 KEYS_PER_PART = 500_000
 _SLOT = np.dtype([("mark", "<u8"), ("shard", "<u4"), ("at", "<u8"), ("n", "<u8")])
 _LEVELS = 24
+BLOCK_BITS = 512
+_BLOCK = np.dtype([("before", "<u8"), ("bits", "u1", (BLOCK_BITS // 8,))])
+_REST = np.dtype([("h", "<u8"), ("mark", "<u8")])
+HEAD_BYTES = 512
+#: A part is read whole when more than one in so many of its keys are asked for.
+WHOLE_FROM = 256
 
 
 def _mixed(h: np.ndarray, level: int) -> np.ndarray:
@@ -44,69 +54,109 @@ def _mixed(h: np.ndarray, level: int) -> np.ndarray:
 class PerfectHash:
     """Maps n distinct 64-bit hashes to 0..n-1. Hashes that never part (equal ones) get ``rest`` slots, found by mark."""
 
-    def __init__(self, tables: list[np.ndarray], rest: np.ndarray):
-        self.tables, self.rest = tables, rest
-        self.bases, at = [], 0
-        for bits in tables:
-            counts = np.cumsum(bits, dtype=np.int64)
-            self.bases.append(counts + (at - 1))
-            at += int(counts[-1]) if len(counts) else 0
-        self.size = at + len(rest)
+    def __init__(self, tables: list[tuple[int, int, np.ndarray]], rest: np.ndarray, size: int):
+        """``tables``: bits, slots before the table, blocks of bits."""
+        self.tables, self.rest, self.size = tables, rest, size
 
     @classmethod
     def build(cls, hashes: np.ndarray, marks: np.ndarray) -> tuple[PerfectHash, np.ndarray]:
         """The function and the slot of each input."""
-        left, tables, where = np.arange(len(hashes)), [], []
+        left, tables, used = np.arange(len(hashes)), [], 0
+        slots = np.empty(len(hashes), np.int64)
         while len(left) and len(tables) < _LEVELS:
             size = max(64, 2 * len(left))
             spot = (_mixed(hashes[left], len(tables)) % np.uint64(size)).astype(np.int64)
             alone = np.bincount(spot, minlength=size) == 1
-            tables.append(alone)
-            where.append((left[alone[spot]], spot[alone[spot]]))
-            left = left[~alone[spot]]
-        rest = np.zeros(len(left), [("h", "<u8"), ("mark", "<u8")])
+            ranks = np.cumsum(alone)
+            blocks = np.zeros(-(-size // BLOCK_BITS), _BLOCK)
+            bits = np.zeros(len(blocks) * BLOCK_BITS, bool)
+            bits[:size] = alone
+            blocks["bits"] = np.packbits(bits).reshape(-1, BLOCK_BITS // 8)
+            blocks["before"][1:] = ranks[BLOCK_BITS - 1 : size - 1 : BLOCK_BITS][: len(blocks) - 1]
+            tables.append((size, used, blocks))
+            kept = alone[spot]
+            slots[left[kept]] = used + ranks[spot[kept]] - 1
+            used += int(ranks[-1])
+            left = left[~kept]
+        rest = np.zeros(len(left), _REST)
         rest["h"], rest["mark"] = hashes[left], marks[left]
-        made = cls(tables, rest)
-        slots = np.empty(len(hashes), np.int64)
-        for base, (who, spot) in zip(made.bases, where, strict=True):
-            slots[who] = base[spot]
-        slots[left] = made.size - len(rest) + np.arange(len(rest))
-        return made, slots
+        slots[left] = used + np.arange(len(rest))
+        return cls(tables, rest, len(hashes)), slots
+
+    def _in_rest(self, h: np.uint64, mark: np.uint64) -> int:
+        same = np.flatnonzero((self.rest["h"] == h) & (self.rest["mark"] == mark))
+        return self.size - len(self.rest) + int(same[0]) if len(same) else -1
 
     def find(self, hashes: np.ndarray, marks: np.ndarray) -> np.ndarray:
         """A slot for each hash, -1 where no level has one; the caller compares the stored mark."""
         slots, left = np.full(len(hashes), -1, np.int64), np.arange(len(hashes))
-        for level, (bits, base) in enumerate(zip(self.tables, self.bases, strict=True)):
+        for level, (size, used, blocks) in enumerate(self.tables):
             if not len(left):
                 break
-            spot = (_mixed(hashes[left], level) % np.uint64(len(bits))).astype(np.int64)
-            hit = bits[spot]
-            slots[left[hit]] = base[spot[hit]]
+            spot = (_mixed(hashes[left], level) % np.uint64(size)).astype(np.int64)
+            hit = np.zeros(len(left), bool)
+            for cut in range(0, len(left), 8192):
+                some = spot[cut : cut + 8192]
+                block, at = blocks[some // BLOCK_BITS], some % BLOCK_BITS
+                bits = np.unpackbits(block["bits"], axis=1)
+                hit[cut : cut + 8192] = bits[np.arange(len(some)), at]
+                rank = block["before"].astype(np.int64) + (bits * (np.arange(BLOCK_BITS) < at[:, None])).sum(axis=1)
+                mine = left[cut : cut + 8192][hit[cut : cut + 8192]]
+                slots[mine] = used + rank[hit[cut : cut + 8192]]
             left = left[~hit]
         for i in left if len(self.rest) else ():
-            same = np.flatnonzero((self.rest["h"] == hashes[i]) & (self.rest["mark"] == marks[i]))
-            if len(same):
-                slots[i] = self.size - len(self.rest) + same[0]
+            slots[i] = self._in_rest(hashes[i], marks[i])
         return slots
 
     def to_bytes(self) -> bytes:
-        out = [struct.pack("<IQ", len(self.tables), len(self.rest))]
-        for bits in self.tables:
-            out += [struct.pack("<Q", len(bits)), np.packbits(bits).tobytes()]
-        return b"".join([*out, self.rest.tobytes()])
+        """Head of a fixed size, the hashes that never part, then the tables' blocks."""
+        head = struct.pack("<IQQ", len(self.tables), len(self.rest), self.size) + b"".join(struct.pack("<QQ", size, used) for size, used, _ in self.tables)
+        return b"".join([head.ljust(HEAD_BYTES, b"\0"), self.rest.tobytes(), *(blocks.tobytes() for _, _, blocks in self.tables)])
+
+    @staticmethod
+    def head(data: bytes) -> tuple[int, int, list[tuple[int, int, int]], int]:
+        """(hashes that never part, slots, (bits, slots before, offset) of each table, where the slots begin)."""
+        levels, n_rest, size = struct.unpack_from("<IQQ", data)
+        at, tables = HEAD_BYTES + n_rest * _REST.itemsize, []
+        for level in range(levels):
+            bits, used = struct.unpack_from("<QQ", data, 20 + 16 * level)
+            tables.append((bits, used, at))
+            at += -(-bits // BLOCK_BITS) * _BLOCK.itemsize
+        return n_rest, size, tables, at
 
     @classmethod
     def from_bytes(cls, data: bytes) -> tuple[PerfectHash, int]:
         """The function and where its bytes end."""
-        levels, n_rest = struct.unpack_from("<IQ", data)
-        at, tables = 12, []
-        for _ in range(levels):
-            (n,) = struct.unpack_from("<Q", data, at)
-            size = (n + 7) // 8
-            tables.append(np.unpackbits(np.frombuffer(data, np.uint8, size, at + 8), count=n).astype(bool))
-            at += 8 + size
-        rest = np.frombuffer(data, [("h", "<u8"), ("mark", "<u8")], n_rest, at)
-        return cls(tables, rest), at + rest.nbytes
+        n_rest, size, tables, end = cls.head(data)
+        read = [(bits, used, np.frombuffer(data, _BLOCK, -(-bits // BLOCK_BITS), at)) for bits, used, at in tables]
+        return cls(read, np.frombuffer(data, _REST, n_rest, HEAD_BYTES), size), end
+
+
+class IndexPart:
+    """A stored part, read by ranges: the head once, then for each lookup a block a level and a slot."""
+
+    def __init__(self, read):
+        """``read(offset, length)`` gives bytes of the part's file."""
+        self.read = read
+        n_rest, self.size, self.tables, self.slots = PerfectHash.head(read(0, HEAD_BYTES))
+        self.rest = PerfectHash([], np.frombuffer(read(HEAD_BYTES, n_rest * _REST.itemsize) if n_rest else b"", _REST), self.size)
+
+    def find(self, h: np.uint64, mark: np.uint64) -> np.void | None:
+        """The key's slot (mark, shard, at, n), or None."""
+        slot = -1
+        for level, (bits, used, at) in enumerate(self.tables):
+            spot = int(_mixed(np.array([h]), level)[0] % np.uint64(bits))
+            data = self.read(at + spot // BLOCK_BITS * _BLOCK.itemsize, _BLOCK.itemsize)
+            before, flags = int.from_bytes(data[:8], "little"), int.from_bytes(data[8:], "big") >> (BLOCK_BITS - 1 - spot % BLOCK_BITS)
+            if flags & 1:
+                slot = used + before + flags.bit_count() - 1
+                break
+        else:
+            slot = self.rest._in_rest(h, mark)
+        if slot < 0:
+            return None
+        entry = np.frombuffer(self.read(self.slots + slot * _SLOT.itemsize, _SLOT.itemsize), _SLOT)[0]
+        return entry if entry["mark"] == mark else None
 
 
 @dataclass(frozen=True)
@@ -121,6 +171,7 @@ class TokenStore:
     parts: dict[int, str]
     n_parts: int
     width: int
+    size: int  # bytes of ids
 
 
 def _hashed(df: DataFrame, key: str, parts: int) -> DataFrame:
@@ -129,16 +180,19 @@ def _hashed(df: DataFrame, key: str, parts: int) -> DataFrame:
     return df.withColumns({"h": F.xxhash64(*cols), "mark": F.xxhash64(F.lit("fingerprint"), *cols)}).withColumn("part", F.pmod(F.shiftright("h", 7), F.lit(parts)).cast("int"))
 
 
-def write(df: DataFrame, tokenizer: str, end_id: int, vocabulary: int, key: str = "doc_id") -> TokenStore:
-    """Encodes (key, text) and writes shards in ascending key order, then the index. Texts are shuffled once."""
+def write(df: DataFrame, tokenizer: str, end_id: int, vocabulary: int | None = None, key: str = "doc_id", special_as_text: bool = False) -> TokenStore:
+    """Encodes (key, text) and writes shards in ascending key order, then the index. Texts are shuffled once.
+
+    ``vocabulary`` is the number of ids, by default the tokenizer's; it decides the files' width."""
     spark = df.sparkSession
     folder = work_path(spark, "tokens")
+    vocabulary = max(vocabulary or vocabulary_size(tokenizer), end_id + 1)
     width = 2 if vocabulary <= 1 << 16 else 4
     end = int(end_id).to_bytes(4, "little")
     names = [key, "occurrence", "shard", "at", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, out, at, last, occurrence = word_encoder(tokenizer).encode, None, 0, object(), 0
+        encode, out, at, last, occurrence = word_encoder(tokenizer, special_as_text).encode, None, 0, object(), 0
         for batch in batches:
             seconds, places, counts = [], [], []
             for k, text in zip(batch.column(0), batch.column(1), strict=True):
@@ -149,6 +203,8 @@ def write(df: DataFrame, tokenizer: str, end_id: int, vocabulary: int, key: str
                 occurrence = occurrence + 1 if k == last else 0
                 last = k
                 ids = np.frombuffer(encode(text.as_py() or "") + end, "<u4")
+                if int(ids.max()) >> 8 * width:
+                    raise ValueError(f"id {ids.max()} needs more than {width} bytes")
                 out.write(ids.astype(f"<u{width}").tobytes())
                 seconds.append(occurrence)
                 places.append(at)
@@ -160,16 +216,44 @@ def write(df: DataFrame, tokenizer: str, end_id: int, vocabulary: int, key: str
             out.close()
 
     kind = df.schema[key].dataType.simpleString()
-    ordered = df.select(key, "text").repartitionByRange(F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), "text")
-    manifest = materialize(ordered.mapInArrow(run, f"`{key}` {kind}, occurrence long, shard string, at long, n_tokens long"), "manifest")
-    shards, bases, total, rows = [], {}, 0, 0
-    for shard, tokens, n in sorted(map(tuple, manifest.groupBy("shard").agg(F.sum("n_tokens"), F.count("*")).collect())):  # a row per file
+    # the row's own number and the text's hash split a key of very many rows
+    by = [F.col(key).asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
+    ordered = df.select(key, "text").repartitionByRange(*by).sortWithinPartitions(F.col(key).asc_nulls_first(), "text")
+    manifest = materialize(map_arrow(ordered, run, f"`{key}` {kind}, occurrence long, shard string, at long, n_tokens long"), "manifest")
+    shards, bases, total, rows, ends = [], {}, 0, 0, []
+    place = F.struct(F.col(key).isNotNull(), F.col(key))
+    per_shard = manifest.groupBy("shard").agg(F.sum("n_tokens"), F.count("*"), F.min(place), F.max(place))
+    for shard, tokens, n, first, last in sorted(map(tuple, per_shard.collect()), key=lambda r: r[0]):  # a row per file
         shards.append(shard)
         bases[shard] = total
         total, rows = total + tokens, rows + n
+        ends.append((first[1], last[1]))
+    manifest = _numbered(manifest, key, shards, ends)
     n_parts = max(1, -(-rows // KEYS_PER_PART))
     parts = _write_index(_hashed(manifest, key, n_parts), folder, shards)
-    return TokenStore(folder, key, manifest, shards, bases, parts, n_parts, width)
+    return TokenStore(folder, key, manifest, shards, bases, parts, n_parts, width, total * width)
+
+
+def _numbered(manifest: DataFrame, key: str, shards: list[str], ends: list[tuple]) -> DataFrame:
+    """The manifest with occurrence numbers that run on where a key's rows do so from shard to shard; ``ends`` has each
+    shard's first and last key."""
+    across = [i for i in range(1, len(shards)) if ends[i][0] == ends[i - 1][1]]
+    if not across:
+        return manifest
+    # a key that runs on is the first of its shard, so there is a row per file at most
+    firsts = manifest.sparkSession.createDataFrame([(s, e[0]) for s, e in zip(shards, ends, strict=True)], f"_shard string, _first {manifest.schema[key].dataType.simpleString()}")
+    own = (F.col("shard") == F.col("_shard")) & F.col(key).eqNullSafe(F.col("_first"))
+    counts = {r.shard: r.n for r in manifest.join(F.broadcast(firsts), own).groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    lasts = manifest.sparkSession.createDataFrame([(s, e[1]) for s, e in zip(shards, ends, strict=True)], f"_shard string, _first {manifest.schema[key].dataType.simpleString()}")
+    tails = {r.shard: r.n for r in manifest.join(F.broadcast(lasts), own).groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    offsets, run = [], 0
+    for i in across:
+        whole = i - 1 in across and ends[i - 1][0] == ends[i - 1][1]  # the shard before is of this key alone, and runs on too
+        run = (run + counts[shards[i - 1]]) if whole else tails[shards[i - 1]]
+        offsets.append((shards[i], ends[i][0], run))
+    table = manifest.sparkSession.createDataFrame(offsets, f"_shard string, _first {manifest.schema[key].dataType.simpleString()}, _more long")
+    more = F.coalesce("_more", F.lit(0)) + F.col("occurrence")
+    return manifest.join(F.broadcast(table), own, "left").withColumn("occurrence", more).drop("_shard", "_first", "_more")
 
 
 def _write_index(hashed: DataFrame, folder: str, shards: list[str]) -> dict[int, str]:
@@ -197,6 +281,7 @@ def locate(store: TokenStore, keys: DataFrame) -> DataFrame:
     """(key, occurrence, shard, at, n_tokens) of each wanted (key[, occurrence]) that the index has."""
     if "occurrence" not in keys.columns:
         keys = keys.withColumn("occurrence", F.lit(0).cast("long"))
+    keys = keys.select(store.key, "occurrence").distinct()
     folder, parts, shards, key = store.folder, store.parts, store.shards, store.key
     names = [key, "occurrence", "shard", "at", "n_tokens"]
 
@@ -206,16 +291,22 @@ def locate(store: TokenStore, keys: DataFrame) -> DataFrame:
         found = np.zeros(len(marks), bool)
         entries = np.zeros(len(marks), _SLOT)
         if name is not None:
-            from .common import filesystem
-
             disk, path = filesystem(folder)
+            hashes = rows.column("h").to_numpy().view(np.uint64)
             with disk.open_input_file(f"{path}/{name}") as file:
-                data = file.read()
-            function, at = PerfectHash.from_bytes(data)
-            slots = function.find(rows.column("h").to_numpy().view(np.uint64), marks)
-            stored = np.frombuffer(data, _SLOT, function.size, at)
-            entries[slots >= 0] = stored[slots[slots >= 0]]
-            found = (slots >= 0) & (entries["mark"] == marks)
+                part = IndexPart(lambda at, n: file.read_at(n, at))
+                if len(hashes) * WHOLE_FROM < part.size:
+                    for i, (h, mark) in enumerate(zip(hashes, marks, strict=True)):
+                        entry = part.find(h, mark)
+                        if entry is not None:
+                            found[i], entries[i] = True, entry
+                else:
+                    data = file.read_at(file.size(), 0)
+                    function, at = PerfectHash.from_bytes(data)
+                    slots = function.find(hashes, marks)
+                    stored = np.frombuffer(data, _SLOT, function.size, at)
+                    entries[slots >= 0] = stored[slots[slots >= 0]]
+                    found = (slots >= 0) & (entries["mark"] == marks)
         kept, entries = rows.filter(pa.array(found)), entries[found]
         shard = pa.array([shards[i] for i in entries["shard"]], pa.string())
         return pa.table([kept.column(key), kept.column("occurrence"), shard, pa.array(entries["at"].astype(np.int64)), pa.array(entries["n"].astype(np.int64))], names)
@@ -244,5 +335,6 @@ def read(store: TokenStore, located: DataFrame) -> DataFrame:
         reader.close()
 
     kind = located.schema[key].dataType.simpleString()
-    ordered = located.repartitionByRange("shard", "at").sortWithinPartitions("shard", "at")
-    return ordered.mapInArrow(run, f"`{key}` {kind}, occurrence long, start long, n_tokens long, ids binary")
+    # as many tasks as the shards' bytes ask for, whatever the size of the rows that point to them
+    ordered = located.repartitionByRange(parts_for(located.sparkSession, store.size), "shard", "at").sortWithinPartitions("shard", "at")
+    return map_arrow(ordered, run, f"`{key}` {kind}, occurrence long, start long, n_tokens long, ids binary")

@@ -19,23 +19,37 @@ def test_perfect_hash():
         data = made.to_bytes() + b"tail"
         back, end = token_files.PerfectHash.from_bytes(data)
         assert data[end:] == b"tail" and (back.find(h, mark) == slots).all()
+        stored = np.zeros(n, token_files._SLOT)
+        stored["mark"][slots], stored["n"][slots] = mark, np.arange(n)
+        file, reads = made.to_bytes() + stored.tobytes(), []
+        part = token_files.IndexPart(lambda at, size: reads.append(size) or file[at : at + size])  # noqa: B023
+        reads.clear()
+        for i in range(min(n, 2000)):
+            assert part.find(h[i], mark[i])["n"] == i
+        assert sum(reads) < 500 * max(1, min(n, 2000)) and part.find(np.uint64(12345), np.uint64(1)) is None
 
 
-def test_token_store(spark):
-    rows = [(5, "five"), (1, None), (3, "three words here"), (3, "three words here"), (3, "other"), (None, "null key"), (2, ""), (9, "long " * 20_000)]
-    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, at int, shard string")
-    store = token_files.write(df, word_tokenizer_path(), 2, 49_408)
-    found = token_files.read(store, token_files.locate(store, store.manifest.select("doc_id", "occurrence"))).collect()
+def test_one_key_over_many_shards(spark):
+    rows = [(i, f"t{i}") for i in range(40)] + [(20, f"copy {i % 7}") for i in range(400)] + [(None, f"n{i}") for i in range(100)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = token_files.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), word_tokenizer_path(), 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    manifest = store.manifest.collect()
+    assert sorted(r.occurrence for r in manifest if r.doc_id == 20) == list(range(401)) and sorted(r.occurrence for r in manifest if r.doc_id is None) == list(range(100))
+    assert len({r.shard for r in manifest if r.doc_id == 20}) > 1
+    wanted = store.manifest.select("doc_id", "occurrence")
+    found = token_files.read(store, token_files.locate(store, wanted.union(wanted))).collect()
+    texts = {}
+    for k, t in rows:
+        texts.setdefault(k, []).append(t)
+    got = {}
+    for r in sorted(found, key=lambda r: r.start):
+        got.setdefault(r.doc_id, []).append(bytes(r.ids))
     encode = word_encoder(word_tokenizer_path()).encode
-    start = 0
-    for r, (key, text) in zip(sorted(found, key=lambda r: r.start), sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")), strict=True):
-        want = encode(text or "") + b"\2\0\0\0"
-        assert (r.doc_id, r.start, bytes(r.ids), r.n_tokens) == (key, start, want, len(want) // 4)
-        start += len(want) // 4
-    absent = spark.createDataFrame([(77,), (5,)], "doc_id long")
-    assert [r.doc_id for r in token_files.locate(store, absent).collect()] == [5]
-    empty = token_files.write(df.limit(0), word_tokenizer_path(), 2, 49_408)
-    assert empty.shards == [] and token_files.locate(empty, absent).count() == 0
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(encode(t) + b"\2\0\0\0" for t in v) for k, v in texts.items()}
+    assert [r.start for r in sorted(found, key=lambda r: r.start)][-1] < store.size // store.width
 
 
 def plain(rows):
