@@ -18,14 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import let
+
 WINDOW = 3
 WORD = r"[^\x20\x09-\x0D]"
 
 
-def _let(value: Column, body) -> Column:
-    return F.transform(F.array(value), body)[0]
-
-
 def windows(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, mark, pos, a, b): each window's place and 128-bit hash; ``mark`` tells texts of one key apart."""
 
@@ -36,7 +34,7 @@ def windows(df: DataFrame, key: str = "doc_id") -> DataFrame:
 
         return F.when(F.size(lines) >= WINDOW, F.transform(F.sequence(F.lit(0), F.size(lines) - WINDOW), one)).otherwise(F.array())
 
-    df = df.where(F.col("text").isNotNull()).select(F.col(key).alias("_key"), F.xxhash64("text").alias("_mark"), F.explode(_let(F.split("text", "\n"), hashed)).alias("w"))
+    df = df.where(F.col("text").isNotNull()).select(F.col(key).alias("_key"), F.xxhash64("text").alias("_mark"), F.explode(let(F.split("text", "\n"), hashed)).alias("w"))
     return df.where("w.word").select("_key", "_mark", "w.pos", "w.a", "w.b")
 
 
@@ -51,21 +49,19 @@ def covered_lines(df: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def _kept(lines: Column, spots: Column) -> Column:
     covered = F.flatten(F.transform(spots, lambda p: F.sequence(p, p + WINDOW - 1)))
-    return _let(lines, lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), covered), lambda i: F.get(x, i)))
+    return let(lines, lambda x: F.transform(F.array_except(F.sequence(F.lit(0), F.size(x) - 1), covered), lambda i: F.get(x, i)))
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows with repeated windows removed from ``text``, and n_lines and n_removed added."""
     spots = covered_lines(df, key)
-    names = [c for c in df.columns if c not in ("n_lines", "n_removed")]
-    out = df.select(*names, F.xxhash64("text").alias("_own_mark")).join(spots, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_own_mark") == F.col("_mark")), "left")
-    lines = F.split("text", "\n")
+    others = [c for c in df.columns if c not in ("text", "n_lines", "n_removed")]
+    own = df.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("_row"), F.col(key).alias("_id"), F.col("text").alias("_text"), F.xxhash64("text").alias("_own_mark"))
+    out = own.join(spots, F.col("_id").eqNullSafe(F.col("_key")) & (F.col("_own_mark") == F.col("_mark")), "left")
+    lines = F.split("_text", "\n")
     out = out.withColumn("_kept", F.when(F.col("_spots").isNotNull(), _kept(lines, F.col("_spots"))))
-    n_lines = F.coalesce(F.size(lines), F.lit(0)).cast("long")
-    return out.withColumns(
-        {
-            "n_lines": F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(n_lines),
-            "n_removed": F.when(F.col("_spots").isNotNull(), F.size(lines) - F.size("_kept")).otherwise(F.lit(0)).cast("long"),
-            "text": F.when(F.col("_spots").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col("text")),
-        }
-    ).select(*names, "n_lines", "n_removed")
+    text = F.when(F.col("_spots").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col("_text")).alias("text")
+    n_lines = F.when(F.col("_text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long").alias("n_lines")
+    n_removed = F.when(F.col("_spots").isNotNull(), F.size(lines) - F.size("_kept")).otherwise(F.lit(0)).cast("long").alias("n_removed")
+    kept = [c for c in df.columns if c not in ("n_lines", "n_removed")]
+    return out.select(*(text if c == "text" else F.col("_row").getField(c).alias(c) for c in kept), n_lines, n_removed)
