@@ -30,7 +30,8 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    engine.QUERIES["seed_hosts"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # starts the JVM's and Python's workers
+    for name in ("seed_hosts", "link_extract"):  # start the JVM's and Python's workers
+        engine.QUERIES[name](spark, "/root/testdata/sf0.001" if os.path.isdir("/root/testdata/sf0.001") else sf_dir).write.format("noop").mode("overwrite").save()
     took = {}
     for name in HEADLINE:
         begin = time.perf_counter()

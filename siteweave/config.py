@@ -22,9 +22,14 @@ RANGES = {
 }
 
 
+#: Text options that are stripped.
+STRIPPED = ("api_key_gemini", "llm_api_key", "llm_provider", "llm_api_base", "llm_extra_headers_json")
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     seed_urls: str = ""
+    llm_provider: str = ""
     llm_api_key: str = ""
     api_key_gemini: str = ""
     llm_model_listing: str = "openai/gpt-4o-mini"
@@ -53,6 +58,8 @@ class PipelineConfig:
     dedupe_key: str = "normalized"
 
     def __post_init__(self):
+        for name in STRIPPED:
+            object.__setattr__(self, name, getattr(self, name).strip())
         for name, (low, high) in RANGES.items():
             value = getattr(self, name)
             if value < low or (high is not None and value > high):
@@ -68,7 +75,7 @@ class PipelineConfig:
     @property
     def api_key(self) -> str:
         """The model key, or else the fallback key, both stripped."""
-        return self.llm_api_key.strip() or self.api_key_gemini.strip()
+        return self.llm_api_key or self.api_key_gemini
 
     def check_models(self) -> None:
         """A key and both model names are needed before any model call."""
@@ -124,7 +131,13 @@ class Settings:
 
     @property
     def details_path(self) -> str:
-        return self.job_details_path or f"{self.output_dir}/job_details.jsonl"
+        return self.job_details_path if self.job_details_path.strip() else f"{self.output_dir.rstrip('/')}/job_details.jsonl"
+
+    @classmethod
+    def from_env(cls, environ: dict[str, str] | None = None, dotenv: str | Path | None = None) -> Settings:
+        """Settings from upper-case environment names; a .env file fills gaps."""
+        values = {**_read_dotenv(dotenv), **(os.environ if environ is None else environ)}
+        return cls(**{f.name: values[f.name.upper()] for f in fields(cls) if f.name.upper() in values})
 
 
 @dataclass(frozen=True)

@@ -161,8 +161,8 @@ def minify_body(html: pa.Array) -> pa.Array:
 
 
 def minify_regular(html: Column) -> Column:
-    """Built-in form for regular pages (dropped tags not nested in themselves)."""
-    body = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)<body[^>]*>(.*)</body>", 1)
+    """Built-in form for regular pages (dropped tags not nested in themselves); a body that is never closed ends with the page."""
+    body = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)<body[^>]*>(.*?)(?:</body>|\z)", 1)
     for tag in sorted(DROPPED - {"img"}):
         body = F.regexp_replace(body, rf"(?is)<{tag}\b[^>]*>.*?</{tag}>", "")
     return F.trim(F.regexp_replace(body, r"(?is)<img\b[^>]*>", ""))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from urllib.parse import parse_qs, urlencode, urljoin, urlparse, urlunparse
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .vectorized import arrow
 
 #: Query keys dropped from normalized urls (case-sensitive).
 TRACKING_KEYS = ("utm_source", "utm_medium", "utm_campaign", "ref", "fbclid")
-#: Fixed value: words that mark a link as worth following, as one unanchored pattern.
+#: Words that mark a link as worth following, as one unanchored pattern; equivalent to the pipeline's list of them.
 JOB_LINK_PATTERN = r"(?iud)career|job|position|employment|search|apply|opportunit|vacancies|opening|join.*(?:team|us)"
 
 #: Groups: scheme, network location, path, query.
@@ -63,6 +63,13 @@ def is_simple(url: Column) -> Column:
     return url.rlike(SIMPLE) & (F.size(F.array_distinct(keys)) == F.size(keys))
 
 
+def with_normalized(df: DataFrame, name: str, href: Column, base: Column) -> DataFrame:
+    """Adds ``name``, the normalized url. Simple urls never leave the JVM: the others are a branch of their own, so that rows
+    are read twice but only those of that branch reach Python. For narrow tables; ``normalize_url`` reads rows once."""
+    simple = F.coalesce(is_simple(href), F.lit(False))
+    return df.where(simple).withColumn(name, normalize_absolute(href)).unionByName(df.where(~simple).withColumn(name, _normalize_general(href, base)))
+
+
 def normalize_url(href: Column, base: Column) -> Column:
     """Most absolute urls stay in the JVM; only the others are handed to Python (as nulls otherwise)."""
     simple = F.coalesce(is_simple(href), F.lit(False))

@@ -17,7 +17,7 @@ from typing import Protocol
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..config import RetryPolicy
+from ..config import PipelineConfig, RetryPolicy, parse_headers
 from ..functions.html import Document
 from ..functions.text import DETAIL_TASK, LISTING_TASK, repair_prompt
 from ..functions.validate import DETAILS_STRUCT, LISTING_STRUCT, validator_for
@@ -110,11 +110,13 @@ def invoke(model: Model, system: str, prompt: str, validator: str, policy: Retry
 class OfflineListingModel:
     """Deterministic stand-in: anchors of the chunk that look like positions, and a next link if there is one."""
 
+    pattern = r"(?i)/(jobs?|careers?|positions?|vacanc\w+)/"
+
     def complete(self, messages: list[dict[str, str]]) -> tuple[str, Usage]:
         chunk = messages[1]["content"].removeprefix(LISTING_TASK)
         document = Document(chunk)
         anchors = [(n, "".join(document.texts(n))) for n in document.nodes if n.tag == "a" and n.attrs.get("href")]
-        jobs = [{"href": n.attrs["href"], "text": t, "selector": f'a[href="{n.attrs["href"]}"]'} for n, t in anchors if re.search(r"(?i)/(jobs?|careers?|positions?|vacanc\w+)/", n.attrs["href"])]
+        jobs = [{"href": n.attrs["href"], "text": t, "selector": f'a[href="{n.attrs["href"]}"]'} for n, t in anchors if re.search(self.pattern, n.attrs["href"])]
         after = next(({"href": n.attrs["href"], "text": t, "selector": f'a[href="{n.attrs["href"]}"]'} for n, t in anchors if t.lower() in ("next", "»", "›")), None)
         answer = {
             "is_job_listing": len(jobs) >= 2, "score": float(min(10, 2 * len(jobs))), "has_pagination": after is not None, "next_page_element": after,
@@ -134,6 +136,44 @@ class OfflineDetailsModel:
         return json.dumps(answer, ensure_ascii=False), Usage(len(page) // 4, 32, len(page) // 4 + 32)
 
 
+#: How answers are sampled.
+TEMPERATURE, TOP_P = 0.1, 0.3
+
+
+def _post(url: str, headers: dict[str, str], body: dict) -> dict:
+    from urllib.request import Request, urlopen
+
+    request = Request(url, json.dumps(body).encode(), {"Content-Type": "application/json", **headers}, method="POST")
+    with urlopen(request, timeout=300) as answer:  # noqa: S310
+        return json.load(answer)
+
+
+@dataclass(frozen=True)
+class CompletionModel:
+    """A chat-completion endpoint behind the protocol: one call per completion, JSON mode, no retries of its own.
+
+    ``send`` takes (url, headers, body) and returns the endpoint's JSON; the default posts it.
+    """
+
+    name: str
+    key: str
+    base: str = "https://api.openai.com/v1"
+    headers: tuple[tuple[str, str], ...] = ()
+    send: Callable[[str, dict[str, str], dict], dict] = _post
+
+    @classmethod
+    def of(cls, config: PipelineConfig, name: str, send: Callable = _post) -> CompletionModel:
+        """The model of this name with the configured key, address and extra headers; a missing key or name is an error."""
+        config.check_models()
+        extra = tuple((parse_headers(config.llm_extra_headers_json) or {}).items())
+        return cls(name, config.api_key, config.llm_api_base.strip() or cls.base, extra, send)
+
+    def complete(self, messages: list[dict[str, str]]) -> tuple[str, Usage]:
+        body = {"model": self.name.rpartition("/")[2], "messages": messages, "response_format": {"type": "json_object"}, "temperature": TEMPERATURE, "top_p": TOP_P}
+        answer = self.send(f"{self.base.rstrip('/')}/chat/completions", {"Authorization": f"Bearer {self.key}", **dict(self.headers)}, body)
+        return answer["choices"][0]["message"].get("content") or "{}", usage_of(answer.get("usage"))
+
+
 LISTING_SYSTEM, DETAILS_SYSTEM = "You read markup of career pages and answer in JSON.", "You read job descriptions and answer in JSON."
 
 

@@ -22,7 +22,8 @@ def first_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
 
 
 def expand(seeds: DataFrame, edges: DataFrame, max_depth: int, level_cap: int | None = None) -> DataFrame:
-    """(seed, url, source_url, depth, pos): every url reached within ``max_depth`` of its seed, at its first depth.
+    """(seed, url, source_url, depth, pos): every url reached within ``max_depth`` of its seed, at its first depth; ``pos``
+    orders the urls of a seed's level.
 
     ``seeds`` has (seed, url); ``edges`` (source_url, url, pos) are admitted, resolved links. A level takes at most
     ``level_cap`` + 1 links of a seed, counted in crawl order before repeats are removed.
@@ -36,8 +37,9 @@ def expand(seeds: DataFrame, edges: DataFrame, max_depth: int, level_cap: int |
             order = Window.partitionBy("seed").orderBy("parent_pos", "source_url", "pos", "url")
             step = step.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= level_cap + 1).drop("_n")
         step = first_by(step, ["seed", "url"], ["parent_pos", "source_url", "pos"])
-        order = Window.partitionBy("seed").orderBy("parent_pos", "source_url", "pos", "url")
-        numbered = step.withColumn("pos", F.row_number().over(order).cast("long"))
+        # places in crawl order by range partitions, so that no seed's level is sorted in one task; they have gaps
+        order = ["seed", "parent_pos", "source_url", "pos", "url"]
+        numbered = step.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("pos", F.monotonically_increasing_id())
         level = written(numbered.select("seed", "url", "source_url", F.lit(depth).alias("depth"), "pos"), "level")
         if level.isEmpty():
             break
@@ -67,6 +69,28 @@ def page_edges(pages: DataFrame, config: PipelineConfig = PipelineConfig(), foll
     return found.select("source_url", url.alias("url"), pos.alias("pos"), "kind")
 
 
+def stored_pages(store: DataFrame) -> DataFrame:
+    """(url, page_url, html[, cleaned_html]) of the pages fetched well, one for each normalized url.
+
+    Of pages with one normalized url the one stored under just that address stays, else the least address; of several
+    under one address the least by final address and body hash. Bodies go through the shuffle only where addresses repeat.
+    """
+    from ..functions.urls import normalize_url
+
+    ok = store.where(F.coalesce("success", F.lit(True))) if "success" in store.columns else store
+    where = F.coalesce("final_url", "url") if "final_url" in store.columns else F.col("url")
+    named = ok.withColumns({"_own": F.col("url"), "_page": where, "_url": normalize_url(F.col("url"), F.col("url"))}).where("_url is not null")
+    rank = F.struct((F.col("_own") != F.col("_url")).alias("other"), "_own", "_page", F.xxhash64("html").alias("body"))
+    kept = written(named.select("_url", rank.alias("rank")).groupBy("_url").agg(F.min("rank").alias("best"), F.count("*").alias("n")), "page-store")
+    out = named.select("_url", rank.alias("rank"), F.col("_page").alias("page_url"), "html", *(["cleaned_html"] if "cleaned_html" in ok.columns else []))
+    others = [c for c in out.columns if c not in ("_url", "rank")]
+    # stored once: nothing to compare; stored again: the best row, one of those that are alike
+    twice = kept.where("n > 1").select("_url", "best")
+    again = out.join(twice, "_url").where("rank = best").groupBy("_url").agg(F.min(F.struct(*others)).alias("row")).select("_url", "row.*")
+    single = out.join(twice.select("_url"), "_url", "left_anti").select("_url", *others)
+    return single.unionByName(again).withColumnRenamed("_url", "url")
+
+
 def crawl(seeds: DataFrame, store: DataFrame, config: PipelineConfig = PipelineConfig(), score=None, follow_all: bool = False) -> DataFrame:
     """Crawl results of all seeds over a page store (url, html[, success, final_url]): reached pages with their scores.
 
@@ -75,9 +99,7 @@ def crawl(seeds: DataFrame, store: DataFrame, config: PipelineConfig = PipelineC
     from ..functions.urls import normalize_url
     from .heuristics import score_pages
 
-    ok = store.where(F.coalesce("success", F.lit(True))) if "success" in store.columns else store
-    where = F.coalesce("final_url", "url") if "final_url" in store.columns else F.col("url")
-    ok = ok.select(normalize_url(F.col("url"), F.col("url")).alias("url"), where.alias("page_url"), "html", *(["cleaned_html"] if "cleaned_html" in ok.columns else []))
+    ok = stored_pages(store)
     edges = written(page_edges(ok.select(F.col("url"), "html"), config, follow_all).drop("kind"), "edges")
     start = seeds.select("seed", normalize_url(F.col("seed"), F.col("seed")).alias("url"))
     reached = expand(start, edges, config.max_depth, config.max_urls_on_level)

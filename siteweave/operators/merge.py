@@ -14,9 +14,12 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def distinct_links(links: Column, field: str = "href") -> Column:
-    """Of an array of structs, the first of each ``field``, in order."""
-    names = F.transform(links, lambda x: x[field])
-    return F.filter(links, lambda x, i: F.array_position(names, x[field]) == i + 1)
+    """Of an array of structs, the first of each ``field``, in order; those with a null field go. Two sorts, so n log n."""
+    let = lambda value, body: F.transform(F.array(value), body)[0]
+    placed = F.transform(F.filter(links, lambda x: x[field].isNotNull()), lambda x, i: F.struct(x[field].alias("k"), i.alias("i"), x.alias("x")))
+    firsts = lambda s: F.filter(s, lambda x, j: (j == 0) | (F.get(s, j - 1)["k"] != x["k"]))
+    kept = let(F.array_sort(placed), firsts)
+    return F.transform(F.array_sort(F.transform(kept, lambda x: F.struct(x["i"].alias("i"), x["x"].alias("x")))), lambda x: x["x"])
 
 
 def merge_chunks(responses: DataFrame, careers_url: str | Column = "", key: str = "page_key") -> DataFrame:

@@ -41,17 +41,22 @@ def scrape(listings: DataFrame, page_store: DataFrame | None = None, key: str =
     what a browser session would see. The listing's links are used only where nothing was scraped.
     """
     routed = route(listings)
-    args = lambda f: f("html", "careers_url", "parent_container_selector", "child_job_link_selector")
-    static = routed.where("mode = 'static'").withColumn("links", args(static_links))
-    static = written(static.where("links is not null").select(key, F.lit(1).alias("page_no"), F.posexplode("links").alias("pos", "l")), "static-links")
-    spec = routed.select(key, "careers_url", "parent_container_selector", "child_job_link_selector")
-    browser_pages = routed.select(key, F.lit(1).alias("page_no"), "html", F.lit(False).alias("next_usable"))
-    if page_store is not None:
-        browser_pages = page_store.select(key, "page_no", "html", "next_usable")
-    seen = browser_pages.join(spec, key).join(static.select(key).distinct(), key, "left_anti").withColumn("links", args(document_links))
-    seen = pages_until_stop(seen.withColumn("urls", F.transform("links", lambda x: x["url"])), key, "page_no", "urls", "next_usable")
-    browser = seen.where("links is not null").select(key, "page_no", F.posexplode("links").alias("pos", "l"))
-    scraped = static.unionByName(browser).select(key, F.col("l.url").alias("url"), "page_no", "pos", F.col("l.title").alias("title"))
+    args = lambda f, html: f(html, "careers_url", "parent_container_selector", "child_job_link_selector")
+    some = F.coalesce(F.size("_static") > 0, F.lit(False))
+    routed = routed.withColumn("_static", args(static_links, F.when(F.col("mode") == "static", F.col("html"))))
+    if page_store is None:  # the listing's own page alone: nothing is joined, and it is parsed again only where the static way found nothing
+        links = F.when(some, F.col("_static")).otherwise(args(document_links, F.when(~some, F.col("html"))))
+        found = routed.select(key, "careers_url", "individual_job_links", F.lit(1).alias("page_no"), links.alias("links"))
+        routed = found = written(found, "page-links")
+        scraped = found.where("links is not null").select(key, "page_no", F.posexplode("links").alias("pos", "l"))
+    else:
+        routed = written(routed.drop("html"), "static-links")
+        static = routed.where(some).select(key, F.lit(1).alias("page_no"), F.posexplode("_static").alias("pos", "l"))
+        spec = routed.where(~some).select(key, "careers_url", "parent_container_selector", "child_job_link_selector")
+        seen = page_store.select(key, "page_no", "html", "next_usable").join(spec, key).withColumn("links", args(document_links, F.col("html")))
+        seen = pages_until_stop(seen.withColumn("urls", F.transform("links", lambda x: x["url"])), key, "page_no", "urls", "next_usable")
+        scraped = static.unionByName(seen.where("links is not null").select(key, "page_no", F.posexplode("links").alias("pos", "l")))
+    scraped = scraped.select(key, F.col("l.url").alias("url"), "page_no", "pos", F.col("l.title").alias("title"))
     scraped = written(keep_first(scraped, [key, "url"], ["page_no", "pos"]), "scraped")  # read twice below; pages are parsed once
     own = routed.join(scraped.select(key).distinct(), key, "left_anti").select(key, "careers_url", F.posexplode("individual_job_links").alias("pos", "l"))
     own = own.select(key, resolve_url(F.col("careers_url"), F.col("l.href")).alias("url"), F.lit(1).alias("page_no"), "pos", F.col("l.text").alias("title"))

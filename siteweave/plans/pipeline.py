@@ -34,6 +34,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, config: PipelineConfig = PipelineConfig(), rules: HeuristicConfig = HeuristicConfig(), listing_model: Callable = extract.OfflineListingModel, details_model: Callable = extract.OfflineDetailsModel):
         self.spark, self.config, self.rules = ship(spark), config, rules
         self.listing_model, self.details_model = listing_model, details_model
+        self.offline = listing_model is extract.OfflineListingModel and details_model is extract.OfflineDetailsModel
         self.policy = RetryPolicy(config.llm_max_retries, config.llm_retry_base_ms)
 
     def seeds(self) -> DataFrame:
@@ -54,11 +55,12 @@ class Pipeline:
         hits = None
         if c.listing_cache_dir:
             hits, pages = store.split_by_cache(pages, store.read_cache(self.spark, c.listing_cache_dir))
-            hits = hits.drop("content_sha256", "stored_at").withColumn("cache_hit", F.lit(True))
+            hits = hits.drop("content_sha256", "stored_at").withColumns({"cache_hit": F.lit(True), "chunks": F.lit(None).cast("long")})
         parts = chunks(pages.withColumn("body", minify_body("html")), "body", key, c.chunk_size, c.chunk_overlap, c.listing_max_chunks, c.lossy_tail)
         prompts = parts.withColumn("prompt", listing_prompt(F.col("chunk")))
         answers = extract.listing_responses(prompts, self.listing_model, self.policy, c.listing_max_total_tokens, c.listing_chunk_sleep_ms, key)
-        merged = merge.merge_chunks(answers, key=key).drop("careers_url")
+        answers = written(answers, "responses")  # model calls are made once
+        merged = merge.merge_chunks(answers, key=key).drop("careers_url").join(answers.groupBy(key).agg(F.count("*").alias("chunks")), key)
         fresh = pages.drop("content_sha256").join(merged, key, "left").withColumns(
             {
                 "is_job_listing": F.coalesce("is_job_listing", F.lit(False)),
@@ -66,12 +68,13 @@ class Pipeline:
                 "has_pagination": F.coalesce("has_pagination", F.lit(False)),
                 "parent_container_selector": F.coalesce("parent_container_selector", F.lit("")),
                 "total_token_count": F.coalesce("total_token_count", F.lit(0).cast("long")),
+                "chunks": F.coalesce("chunks", F.lit(0).cast("long")),
                 "careers_url": F.col("url"),
                 "cache_hit": F.lit(False),
             }
         )
         fresh = fresh.withColumn("individual_job_links", F.coalesce("individual_job_links", F.from_json(F.lit("[]"), fresh.schema["individual_job_links"].dataType.simpleString())))
-        fresh = written(fresh, "listings")  # model calls are made once
+        fresh = written(fresh, "listings")
         if c.listing_cache_dir:
             store.save_cache(fresh, c.listing_cache_dir)
         return fresh if hits is None else fresh.unionByName(hits.select(*fresh.columns))
@@ -81,15 +84,16 @@ class Pipeline:
 
     def details(self, links: DataFrame, pages: DataFrame, key: str = "page_key") -> DataFrame:
         """Details of the first links of each listing whose pages are in the store and fetched well."""
-        first = merge.first_k(links, self.config.max_detail_urls, key, ["pos"]).withColumn("target", normalize_url(F.col("url"), F.col("url")))
-        ok = pages.where(F.coalesce("success", F.lit(True))) if "success" in pages.columns else pages
-        ok = ok.select(normalize_url(F.col("url"), F.col("url")).alias("target"), "html")
-        found = first.join(ok, "target").select(key, F.col("url").alias("job_url"), detail_prompt(markdown("html")).alias("prompt"))
-        once = found.select("job_url", "prompt").dropDuplicates(["job_url"])
-        answers = written(extract.extract_details(once, self.details_model, self.policy), "details")
-        return found.select(key, "job_url").distinct().join(answers, "job_url")
+        first = merge.first_k(links, self.config.max_detail_urls, key, ["pos"]).select(key, F.col("url").alias("job_url"), normalize_url(F.col("url"), F.col("url")).alias("target"))
+        first = written(first, "detail-links")
+        wanted = frontier.stored_pages(pages).withColumnRenamed("url", "target").join(first.select("target").distinct(), "target")
+        prompts = wanted.select("target", detail_prompt(markdown("html")).alias("prompt"))
+        answers = written(extract.extract_details(prompts, self.details_model, self.policy, "target"), "details")  # one call a page
+        return first.select(key, "job_url", "target").distinct().join(answers, "target").drop("target")
 
     def run(self, pages: DataFrame, seeds: DataFrame | None = None, output: str | None = None, run_id: str | None = None) -> Result:
+        if not self.offline:
+            self.config.check_models()
         seeds = self.seeds() if seeds is None else seeds
         log = telemetry.StageLog(self.spark, run_id or uuid.uuid4().hex)
         with log.stage("pipeline_start") as extra:
@@ -99,7 +103,8 @@ class Pipeline:
         best = written(self.best(crawled), "best")
         report = heuristics.report_lines(seeds, best)
         with log.stage("listing_llm") as extra:
-            listings = written(self.analyze(best.withColumn("page_key", F.col("url")).dropDuplicates(["page_key"])), "analyzed")
+            once = frontier.first_by(best.select(F.col("url").alias("page_key"), "url", "html"), ["page_key"], ["html"])
+            listings = written(self.analyze(once), "analyzed")
             row = listings.agg(F.coalesce(F.sum("total_token_count"), F.lit(0)), F.count_if("cache_hit")).first()
             extra["tokens"], extra["cache_hit"] = row[0], row[1]
         with log.stage("job_links_scrape") as extra:
@@ -112,11 +117,12 @@ class Pipeline:
             if output:
                 self.write(Result(crawled, best, report, listings, links, details), output)
         if output:
-            log.write(f"{output}/stage_events")
+            routed = paging.route(listings)
+            log.write(f"{output}/stage_events", telemetry.listing_events(listings, log.run_id).unionByName(telemetry.scrape_events(routed, links, log.run_id)))
         return Result(crawled, best, report, listings, links, details)
 
     def write(self, result: Result, output: str) -> None:
         store.append_lines(result.report, f"{output}/career_listings")
-        store.append_json(result.listings.drop("html", "cache_hit"), f"{output}/llm_outputs")
-        store.write_links_csv(result.links.join(result.listings.select("page_key", "careers_url"), "page_key"), f"{output}/job_links")
+        store.append_json(result.listings.drop("html", "cache_hit", "chunks"), f"{output}/llm_outputs")
+        store.write_links_csv(result.listings.select("page_key", "careers_url").join(result.links, "page_key", "left"), f"{output}/job_links")
         store.save_details(result.details, f"{output}/job_details")

@@ -99,13 +99,16 @@ def seed_hosts(spark, sf_dir):
 
 @query(f"SELECT page_id, {_NORMAL} AS normalized FROM pages")
 def url_normalize(spark, sf_dir):
-    return _table(spark, sf_dir, "pages").select("page_id", urls.normalize_url(F.col("url"), F.col("url")).alias("normalized"))
+    return _normalized(spark, sf_dir).select("page_id", "normalized")
+
+
+def _normalized(spark, sf_dir):
+    return urls.with_normalized(_table(spark, sf_dir, "pages").select("page_id", "url"), "normalized", F.col("url"), F.col("url"))
 
 
 @query(f"SELECT {_NORMAL} AS normalized, min(page_id) AS page_id, count(*) AS copies FROM pages GROUP BY 1")
 def url_distinct_normalized(spark, sf_dir):
-    df = _table(spark, sf_dir, "pages").select("page_id", urls.normalize_url(F.col("url"), F.col("url")).alias("normalized"))
-    return df.groupBy("normalized").agg(F.min("page_id").alias("page_id"), F.count("*").alias("copies"))
+    return _normalized(spark, sf_dir).groupBy("normalized").agg(F.min("page_id").alias("page_id"), F.count("*").alias("copies"))
 
 
 @query(r"""SELECT page_id, coalesce(nullif(regexp_replace(substr(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1),
@@ -210,7 +213,7 @@ _BEST = rf""", best AS (SELECT *, row_number() OVER (PARTITION BY regexp_extract
 
 def _best(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages")
-    scored = heuristics.score_regular(pages, VOCABULARY).select(urls.host(F.col("url")).alias("host"), "page_id", "url", "score", "is_job_listing")
+    scored = heuristics.score_pages(pages, VOCABULARY).select(urls.host(F.col("url")).alias("host"), "page_id", "url", "score", "is_job_listing")
     return pages, heuristics.best_per_seed(scored, "host", ("page_id",))
 
 
@@ -257,7 +260,23 @@ def bfs_multi_seed(spark, sf_dir):
     return frontier.expand(seeds, _graph(spark, sf_dir), 2).select("seed", "url", "depth")
 
 
-@query()
+def _capped_bfs_sql(depth: int, cap: int) -> str:
+    """Level by level, since what a level leaves out depends on all levels before it."""
+    parts, before = [], "SELECT seed, url FROM l0"
+    for d in range(1, depth + 1):
+        parts.append(f"""s{d} AS (SELECT l.seed, e.url, l.url AS source_url, l.pos AS parent_pos, e.pos FROM l{d - 1} l JOIN edges e ON e.source_url = l.url
+  WHERE NOT EXISTS (SELECT 1 FROM ({before}) v WHERE v.seed = l.seed AND v.url = e.url)),
+c{d} AS (SELECT * FROM s{d} QUALIFY row_number() OVER (PARTITION BY seed ORDER BY parent_pos, source_url, pos, url) <= {cap + 1}),
+f{d} AS (SELECT * FROM c{d} QUALIFY row_number() OVER (PARTITION BY seed, url ORDER BY parent_pos, source_url, pos) = 1),
+l{d} AS (SELECT seed, url, {d} AS depth, row_number() OVER (PARTITION BY seed ORDER BY parent_pos, source_url, pos, url) AS pos FROM f{d})""")
+        before += f" UNION ALL SELECT seed, url FROM l{d}"
+    return f"""WITH there AS (SELECT DISTINCT 'p' || page_id AS source_url, 'h' || href AS url, pos FROM ({_LINKS})),
+edges AS (SELECT * FROM there UNION SELECT url, source_url, substr(source_url, 2)::BIGINT FROM there),
+l0 AS (SELECT 'p' || min(page_id) AS seed, 'p' || min(page_id) AS url, 0 AS depth, 0::BIGINT AS pos FROM pages), {", ".join(parts)}
+{" UNION ALL ".join(f"SELECT seed, url, depth::INTEGER AS depth FROM l{d}" for d in range(depth + 1))}"""
+
+
+@query(_capped_bfs_sql(4, 10))
 def bfs_level_cap(spark, sf_dir):
     seed = F.concat(F.lit("p"), F.col("s").cast("string"))
     seeds = _table(spark, sf_dir, "pages").agg(F.min("page_id").alias("s")).select(seed.alias("seed"), seed.alias("url"))
@@ -296,15 +315,16 @@ def cache_hit_miss(spark, sf_dir):
 # Chunks, minify, merge
 
 
-def _chunk_sql(last: str) -> str:
+def _chunk_sql(last: str, size: int = 1000, overlap: int = 100) -> str:
     return f"""SELECT doc_id, k::INTEGER AS chunk_idx, s::BIGINT AS start, md5(substr(text, (s + 1)::BIGINT, {last})) AS chunk_md5 FROM (
-  SELECT doc_id, text, k, least(8, ceil(length(text) / 1000.0)) AS ks, CASE WHEN k = 0 THEN 0 ELSE k * 1000 - 100 END AS s
-  FROM documents, generate_series(0, 7) AS g(k) WHERE k * 1000 < length(text))"""
+  SELECT doc_id, text, k, least(8, ceil(length(text) / {size}.0)) AS ks, CASE WHEN k = 0 THEN 0 ELSE k * {size} - {overlap} END AS s
+  FROM documents, generate_series(0, 7) AS g(k) WHERE k * {size} < length(text))"""
 
 
-@query(_chunk_sql("1000"))
+@query(_chunk_sql("100000", 100_000, 1_000))
 def chunk_text(spark, sf_dir):
-    parts = text.chunks(_table(spark, sf_dir, "documents"), "text", "doc_id", 1000, 100, 8)
+    """The default sizes, which hold these texts whole."""
+    parts = text.chunks(_table(spark, sf_dir, "documents"), "text", "doc_id")
     return parts.select("doc_id", "chunk_idx", "start", F.md5(F.col("chunk").cast("binary")).alias("chunk_md5"))
 
 
@@ -314,11 +334,28 @@ def chunk_text_lossless(spark, sf_dir):
     return parts.select("doc_id", "chunk_idx", "start", F.md5(F.col("chunk").cast("binary")).alias("chunk_md5"))
 
 
-def _minify_sql() -> str:
-    body = "regexp_extract(coalesce(html, ''), '(?is)<body[^>]*>(.*)</body>', 1)"
+def _minify_body_sql() -> str:
+    body = "regexp_extract(coalesce(html, ''), '(?is)<body[^>]*>(.*?)(?:</body>|\\z)', 1)"
     for tag in sorted(html_functions.DROPPED - {"img"}):
         body = rf"regexp_replace({body}, '(?is)<{tag}\b[^>]*>.*?</{tag}>', '', 'g')"
-    return rf"SELECT page_id, md5(trim(regexp_replace({body}, '(?is)<img\b[^>]*>', '', 'g'))) AS body_md5 FROM pages"
+    return rf"trim(regexp_replace({body}, '(?is)<img\b[^>]*>', '', 'g'))"
+
+
+def _minify_sql() -> str:
+    return f"SELECT page_id, md5({_minify_body_sql()}) AS body_md5 FROM pages"
+
+
+def _words(markup):
+    """A markup's text without its tags and white space, character references of the basic set decoded."""
+    words = F.regexp_replace(F.regexp_replace(markup, "(?s)<!--.*?-->|<[^>]*>", ""), r"\s+", "")
+    for entity, sign in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        words = F.replace(words, F.lit(entity), F.lit(sign))
+    return words
+
+
+def _text_sql(name: str) -> str:
+    body = _minify_body_sql()
+    return rf"SELECT page_id, md5({_decoded(rf"regexp_replace(regexp_replace({body}, '(?s)<!--.*?-->|<[^>]*>', '', 'g'), '\s+', '', 'g')")}) AS {name} FROM pages"
 
 
 @query(_minify_sql())
@@ -326,12 +363,14 @@ def minify_body(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", F.md5(html_functions.minify_regular(F.col("html")).cast("binary")).alias("body_md5"))
 
 
-@query()
+@query(_text_sql("body_text"))
 def minify_body_dom(spark, sf_dir):
-    return _table(spark, sf_dir, "pages").select("page_id", html_functions.minify_body("html").alias("body"))
+    """The parsed form; its text is what SQL can check, as markup is written anew."""
+    body = html_functions.minify_body("html")
+    return _table(spark, sf_dir, "pages").select("page_id", F.md5(_words(body).cast("binary")).alias("body_text"))
 
 
-@query("""WITH r AS (SELECT source, doc_id AS i, quality = 1 AS yes, n_chars / 1000.0::DOUBLE AS score, toxic = 1 AS paged, CASE WHEN lang = 'en' THEN '' ELSE 'div.' || lang END AS box,
+@query("""WITH r AS (SELECT source || '/' || (doc_id // 8) AS source, doc_id AS i, quality = 1 AS yes, n_chars / 1000.0::DOUBLE AS score, toxic = 1 AS paged, CASE WHEN lang = 'en' THEN '' ELSE 'div.' || lang END AS box,
     CASE WHEN n_chars > 1000 THEN '/next/' || lang END AS nxt, ['/' || lang, '/' || source, '/' || lang] AS hrefs, CASE WHEN lang = 'fr' THEN NULL ELSE 'a.' || lang END AS child, n_chars AS tokens
   FROM documents JOIN labels USING (doc_id)),
 l AS (SELECT source, i, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS p FROM r WHERE yes),
@@ -342,14 +381,14 @@ SELECT r.source AS page_key, coalesce(bool_or(yes), false) AS is_job_listing, gr
   (array_agg(child ORDER BY i DESC) FILTER (WHERE yes))[1] AS child_job_link_selector, coalesce(sum(tokens) FILTER (WHERE yes), 0)::BIGINT AS total_token_count
 FROM r LEFT JOIN j ON r.source = j.source GROUP BY 1""")
 def chunk_merge(spark, sf_dir):
-    """Labelled documents stand for chunk answers of their source."""
+    """Labelled documents stand for chunk answers, eight neighbours of a source at most for those of one page."""
     link = lambda c: F.struct(F.concat(F.lit("/"), c).alias("href"), F.lit("t").alias("text"), F.lit("a").alias("selector"))
     after = F.struct(F.lit("n").alias("text"), F.concat(F.lit("/next/"), "lang").alias("href"), F.lit("a").alias("selector"))
     answers = (
         _table(spark, sf_dir, "documents")
         .join(_table(spark, sf_dir, "labels"), "doc_id")
         .select(
-            F.col("source").alias("page_key"),
+            F.concat("source", F.lit("/"), F.floor(F.col("doc_id") / 8).cast("string")).alias("page_key"),
             F.col("doc_id").alias("chunk_idx"),
             (F.col("quality") == 1).alias("is_job_listing"),
             (F.col("n_chars") / 1000.0).alias("score"),
@@ -473,7 +512,7 @@ def stage_events_rollup(spark, sf_dir):
 
 @query(f"SELECT page_id, sha256({_HOST} || {_NORMAL}) AS id FROM pages")
 def job_record_id(spark, sf_dir):
-    return _table(spark, sf_dir, "pages").select("page_id", text.job_id(urls.host(F.col("url")), urls.normalize_url(F.col("url"), F.col("url"))).alias("id"))
+    return _normalized(spark, sf_dir).select("page_id", text.job_id(urls.host(F.col("url")), F.col("normalized")).alias("id"))
 
 
 @query()
@@ -481,21 +520,9 @@ def markdown_pruned(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", text.markdown("html").alias("markdown"))
 
 
-@query()
-def extract_details(spark, sf_dir):
-    prompts = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("job_url"), text.detail_prompt(text.markdown("html")).alias("prompt"))
-    return extract.extract_details(prompts).select(F.col("job_url").alias("page_id"), "details.*", "error_kind")
-
-
-@query()
-def listing_chunks(spark, sf_dir):
-    """Chunks of every page's body through the offline model, merged to one listing a page."""
-    pages = _table(spark, sf_dir, "pages").withColumn("body", html_functions.minify_regular(F.col("html")))
-    parts = text.chunks(pages, "body", "page_id", 2000, 100, 8).withColumn("prompt", text.listing_prompt(F.col("chunk")))
-    answers = extract.listing_responses(parts, key="page_id")
-    return merge.merge_chunks(answers, key="page_id").select("page_id", "is_job_listing", "score", "total_token_count")
+from . import queries_flow  # noqa: E402, F401  its queries join the others
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best page of each host by the full score, all in the JVM."""
+    """Best page of each host by the full score; a page is parsed once."""
     return best_page_per_host(spark, sf_dir)

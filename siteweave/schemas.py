@@ -20,6 +20,6 @@ JOB_DETAILS = "jobtitle string, location string, required_skills string, compens
 CRAWL_RUNS = "id string, started_at timestamp, finished_at timestamp, seed_url string, status string, meta string"
 HTML_BLOBS = "content_sha256 string, source_url string, byte_length bigint, storage_uri string"
 JOBS = "id string, run_id string, listing_url string, job_url string, title string, location string, extracted string, created_at timestamp"
-STAGE_EVENTS = "run_id string, stage string, duration_ms double, seed string, url string, tokens bigint, extra map<string,string>"
+STAGE_EVENTS = "run_id string, stage string, duration_ms double, seed string, url string, tokens bigint, extra string"
 MESSAGES = "session_id string, turn bigint, role string, content string"
 USAGE = "input_tokens bigint, output_tokens bigint, total_tokens bigint"

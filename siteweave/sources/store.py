@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import fingerprint, job_id
@@ -30,33 +30,61 @@ def pages(spark: SparkSession, path: str) -> DataFrame:
 Fetcher = Callable[[list[str]], Iterator[dict]]
 
 
-def fetch(urls: DataFrame, fetcher: Callable[[], Fetcher], url: str = "url", per_host: int = 5) -> DataFrame:
-    """The page-store rows that a fetcher returns. ``per_host`` bounds a host's parallel tasks and never the result.
+#: Hosts whose links count as social links.
+SOCIAL_HOSTS = ("facebook.com", "twitter.com", "x.com", "linkedin.com", "instagram.com", "pinterest.com", "tiktok.com", "snapchat.com", "reddit.com")
 
-    ``fetcher`` is made once per task and called with batches of urls; a url it fails on is a row with success = false.
+
+def without_styles(html: Column) -> Column:
+    """The page without its style elements."""
+    return F.regexp_replace(html, r"(?is)<style\b[^>]*>.*?</style\s*>", "")
+
+
+def without_social_links(html: Column) -> Column:
+    """The page without anchors to social hosts and their subdomains; plain anchors, quoted or not."""
+    hosts = "|".join(h.replace(".", r"\.") for h in SOCIAL_HOSTS)
+    return F.regexp_replace(html, rf"""(?is)<a\b[^>]*\bhref\s*=\s*["']?\s*(?:https?:)?//(?:[a-z0-9-]+\.)*(?:{hosts})(?=[/:?#"'\s>])[^>]*>.*?</a\s*>""", "")
+
+
+def as_fetched(pages: DataFrame, styles: bool = False, social_links: bool = False) -> DataFrame:
+    """Pages as the fetch options leave them; by default neither styles nor social links stay."""
+    html = F.col("html") if styles else without_styles(F.col("html"))
+    return pages.withColumn("html", html if social_links else without_social_links(html))
+
+
+def fetch(urls: DataFrame, fetcher: Callable[[], Fetcher], url: str = "url", per_host: int = 5, calls: int | None = None, batch_size: int = 50) -> DataFrame:
+    """The page-store rows that a fetcher returns. ``per_host`` bounds a host's parallel tasks, ``calls`` those of all
+    hosts, neither ever the result.
+
+    ``fetcher`` is made once per task and called with batches of up to ``batch_size`` urls; a url it fails on is a row with
+    success = false.
     """
     names = ["url", "final_url", "html", "cleaned_html", "success"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get = fetcher()
         for batch in batches:
-            rows = [{"final_url": r["url"], "cleaned_html": None, "success": True} | r for r in get(batch.column(0).to_pylist())]
-            yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], pa.schema([(n, pa.bool_() if n == "success" else pa.string()) for n in names]))
+            wanted = batch.column(0).to_pylist()
+            for at in range(0, len(wanted), batch_size):
+                rows = [{"final_url": r["url"], "cleaned_html": None, "success": True} | r for r in get(wanted[at : at + batch_size])]
+                yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], pa.schema([(n, pa.bool_() if n == "success" else pa.string()) for n in names]))
 
-    lane = F.pmod(F.xxhash64(url), F.lit(per_host))
-    return urls.select(F.col(url)).distinct().repartition(host(F.col(url)), lane).mapInArrow(run, PAGE_STORE)
+    by = [host(F.col(url)), F.pmod(F.xxhash64(url), F.lit(per_host))]
+    dealt = urls.select(F.col(url)).distinct()
+    dealt = dealt.repartition(*by) if calls is None else dealt.repartition(calls, *by)  # a task calls once at a time
+    return dealt.mapInArrow(run, PAGE_STORE)
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """(content_sha256, listing columns): the first listing stored for each hash. A folder that is not there is an empty cache."""
+    """(content_sha256, listing columns): the listing stored last for each hash (of several at one time, one by a fixed choice).
+    A folder that is not there is an empty cache."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     schema = f"content_sha256 string, stored_at timestamp, {LISTING_SPEC}"
     if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path).where("content_sha256 is not null and is_job_listing is not null")
     others = [c for c in rows.columns if c != "content_sha256"]
-    first = rows.groupBy("content_sha256").agg(F.min_by(F.struct(*others), "stored_at").alias("s"))
-    return first.select("content_sha256", *(F.col(f"s.{c}").alias(c) for c in others))
+    last = rows.groupBy("content_sha256").agg(F.max_by(F.struct(*others), F.struct("stored_at", F.to_json(F.struct(*others)))).alias("s"))
+    return last.select("content_sha256", *(F.col(f"s.{c}").alias(c) for c in others))
 
 
 def split_by_cache(pages: DataFrame, cache: DataFrame, html: str = "html") -> tuple[DataFrame, DataFrame]:
@@ -102,9 +130,14 @@ def append_lines(df: DataFrame, path: str, line: str = "line") -> None:
 
 
 def write_links_csv(links: DataFrame, path: str, base_url: str = "careers_url") -> None:
-    """One folder of CSV files per listing (``job_links=<md5 of the base url>``), header Title,URL."""
-    rows = links.select(F.md5(F.col(base_url).cast("binary")).alias("job_links"), F.col("title").alias("Title"), F.col("url").alias("URL"))
-    rows.repartition("job_links").write.mode("overwrite").option("header", True).partitionBy("job_links").csv(path)
+    """One CSV file per listing in ``job_links=<md5 of the base url>``, header Title,URL, links in order of ``pos`` where they
+    have one. A row with a null url stands for a listing without links, whose file is its header alone."""
+    pos = F.col("pos").cast("long") if "pos" in links.columns else F.lit(0).cast("long")
+    own = F.md5(F.col(base_url).cast("binary")).alias("job_links")
+    rows = links.where("url is not null").select(own, pos.alias("n"), F.to_csv(F.struct(F.coalesce("title", F.lit("")).alias("Title"), F.col("url").alias("URL")), {"escape": '"'}).alias("value"))
+    heads = links.select(own).distinct().select("job_links", F.lit(None).cast("long").alias("n"), F.lit("Title,URL").alias("value"))
+    lines = heads.unionByName(rows).repartition("job_links").sortWithinPartitions("job_links", F.col("n").asc_nulls_first(), "value")
+    lines.select("value", "job_links").write.mode("overwrite").partitionBy("job_links").text(path)
 
 
 def save_details(details: DataFrame, path: str) -> None:
@@ -113,7 +146,7 @@ def save_details(details: DataFrame, path: str) -> None:
 
 
 def save_cache(listings: DataFrame, path: str, html: str = "html") -> None:
-    """Appends listings by content hash; reading takes the first of each."""
+    """Appends listings by content hash; reading takes the last of each, so a later listing replaces an earlier one."""
     names = [c.split()[0] for c in LISTING_SPEC.replace("struct<", " struct<").split(", ") if not c.startswith(" ")]
     names = [n for n in names if n in listings.columns]
     append_json(listings.select(fingerprint(F.col(html)).alias("content_sha256"), F.current_timestamp().alias("stored_at"), *names), path)

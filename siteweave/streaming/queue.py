@@ -1,7 +1,7 @@
 """The task queue as a stream: JSON tasks dropped into a folder are read by Structured Streaming and run per micro-batch.
 
 Tasks: crawl_seed, run_pipeline, analyze_listing, scrape_job_links, extract_job_details. A failing task is an error row,
-not a lost one; checkpoints make delivery at least once, and results are keyed so that a repeat is recognised.
+not a lost one. Checkpoints make delivery at least once; a task whose result is there is neither run nor recorded again.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
+from ..operators.frontier import first_by
 from ..plans.pipeline import Pipeline
 from ..schemas import LISTING_SPEC
 
@@ -82,9 +83,13 @@ class Worker:
 
     def batch(self, tasks: DataFrame, batch_id: int) -> None:
         """One micro-batch. Tasks are few (they start jobs of their own), so they are listed on the driver, a limited number a batch."""
-        rows = [self.run(*r) for r in tasks.dropDuplicates(["task_id"]).toLocalIterator()]
-        if rows:
-            self.spark.createDataFrame(rows, "task_id string, task string, status string, result string").write.mode("append").json(f"{self.output}/task_results")
+        schema, path = "task_id string, task string, status string, result string", f"{self.output}/task_results"
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            tasks = tasks.join(self.spark.read.schema(schema).json(path).select("task_id"), "task_id", "left_anti").select("task_id", "task", "payload")
+        for row in first_by(tasks, ["task_id"], ["task", "payload"]).collect():
+            # each result is recorded before the next task runs, so a batch that fails half-way repeats one task at most
+            self.spark.createDataFrame([self.run(*row)], schema).coalesce(1).write.mode("append").json(path)
 
 
 def start(worker: Worker, folder: str, checkpoint: str, once: bool = False):

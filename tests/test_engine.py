@@ -22,7 +22,8 @@ def test_config():
         PipelineConfig().check_models()
     with pytest.raises(ValueError):
         PipelineConfig(llm_api_key="k", llm_model_listing=" ").check_models()
-    assert Settings(output_dir="o").details_path == "o/job_details.jsonl"
+    assert Settings(output_dir="o/").details_path == "o/job_details.jsonl"
+    assert Settings.from_env({"OUTPUT_DIR": "p", "QUEUE_DIR": "q"}, dotenv="/nonexistent") == Settings("p", "", "q")
     assert parse_headers("") is None and parse_headers('{"a": 1}') == {"a": "1"}
     with pytest.raises(ValueError):
         parse_headers('["x"]')
@@ -183,11 +184,23 @@ def test_pipeline_end_to_end(spark, tmp_path):
     one = out.listings.first()
     assert one.is_job_listing and one.has_pagination and not one.cache_hit
     assert out.links.count() == 14 and out.details.count() == 9  # the first link is of a page that is not stored
+    events = [json.loads(r.value) for r in spark.read.text(f"file://{tmp_path}/out/stage_events").collect()]
+    assert any(e["stage"] == "listing_llm" and e.get("cache_hit") is False and e["chunks"] >= 1 and e["url"] for e in events if "url" in e)
+    assert any(e["stage"] == "job_links_scrape" and e.get("mode") == "browser" and e["count"] == 14 for e in events) and any(e["stage"] == "post_crawl_analyze" and e["phase"] == "full" for e in events)
     titles = {r.details.jobtitle for r in out.details.collect()}
     assert "Software Engineer 0" in titles
     assert spark.read.text(f"file://{tmp_path}/out/career_listings").count() == 3
     assert {json.loads(r.value)["stage"] for r in spark.read.text(f"file://{tmp_path}/out/stage_events").collect()} >= {"pipeline_start", "bfs_crawl", "listing_llm", "job_links_scrape", "job_details_llm", "pipeline_end"}
     assert spark.read.option("header", True).csv(f"file://{tmp_path}/out/job_links").columns[:2] == ["Title", "URL"]
+    bare = spark.createDataFrame([("https://a", None, None, None), ("https://b", 2, 'say "x", y', "/2"), ("https://b", 1, None, "/1")], "careers_url string, pos int, title string, url string")
+    store.write_links_csv(bare, f"file://{tmp_path}/csv")
+    files = {f.parent.name: f.read_text() for f in (tmp_path / "csv").glob("*/part-*")}
+    import csv
+    import hashlib
+
+    assert {k: list(csv.reader(v.splitlines())) for k, v in files.items()} == {
+        f"job_links={hashlib.md5(u.encode()).hexdigest()}": rows for u, rows in (("https://a", [["Title", "URL"]]), ("https://b", [["Title", "URL"], ["", "/1"], ['say "x", y', "/2"]]))
+    }
     again = Pipeline(spark, config).analyze(out.best.withColumn("page_key", F.col("url")))
     assert again.first().cache_hit
 
@@ -198,6 +211,39 @@ def test_cache_splits(spark, tmp_path):
     hits, misses = store.split_by_cache(pages, cache)
     assert sorted(r.careers_url for r in hits.collect()) == ["a", "a"] and [r.url for r in misses.collect()] == ["c"]
     assert store.read_cache(spark, f"file://{tmp_path}/none").count() == 0
+    listing = pages.where("url = 'a'").select("html", F.lit(True).alias("is_job_listing"), F.lit("u").alias("careers_url"))
+    for score in (9.0, 1.0):
+        store.save_cache(listing.withColumn("score", F.lit(score)), f"file://{tmp_path}/cache")
+    assert [r.score for r in store.read_cache(spark, f"file://{tmp_path}/cache").collect()] == [1.0]
+
+
+def test_stored_pages(spark):
+    rows = [("https://e.com/x?utm_source=1", "first", True), ("https://e.com/x/", "second", True), ("https://e.com/y", "own", True), ("https://e.com/y/", "other", True), ("https://e.com/y#a", "third", True)]
+    rows += [("https://e.com/z", "same", True), ("https://e.com/z", "same", True), ("https://e.com/bad", "b", False), (None, "n", True), ("https://e.com/null", None, True)]
+    got = {r.url: (r.page_url, r.html) for r in frontier.stored_pages(spark.createDataFrame(rows, "url string, html string, success boolean")).collect()}
+    assert got == {"https://e.com/x": ("https://e.com/x/", "second"), "https://e.com/y": ("https://e.com/y", "own"), "https://e.com/z": ("https://e.com/z", "same"), "https://e.com/null": ("https://e.com/null", None)}
+    assert frontier.stored_pages(spark.createDataFrame([], "url string, html string")).count() == 0
+
+
+def test_distinct_links(spark):
+    link = "struct<href:string,text:string>"
+    rows = [("a", [("/2", "x"), ("/1", "y"), ("/2", "z"), (None, "n"), ("/1", None)]), ("b", []), ("c", None)]
+    df = spark.createDataFrame(rows, f"k string, links array<{link}>").select("k", merge.distinct_links(F.col("links")).alias("links"))
+    assert {r.k: r.links and [tuple(x) for x in r.links] for r in df.collect()} == {"a": [("/2", "x"), ("/1", "y")], "b": [], "c": None}
+    many = spark.range(1).select(merge.distinct_links(F.transform(F.sequence(F.lit(0), F.lit(30_000)), lambda i: F.struct((i % 20_000).cast("string").alias("href"), i.alias("i")))).alias("l"))
+    assert [x.i for x in many.first().l] == list(range(20_000))
+
+
+def test_fetch_options(spark):
+    html = '<style>p{}</style><p>a</p><a href="https://www.facebook.com/x">f</a><a class=b href=//x.com>y</a><a href="https://notx.com/">n</a>'
+    df = spark.createDataFrame([("u", html), ("v", None)], "url string, html string")
+    assert [r.html for r in store.as_fetched(df).orderBy("url").collect()] == ['<p>a</p><a href="https://notx.com/">n</a>', None]
+    assert store.as_fetched(df, styles=True, social_links=True).orderBy("url").first().html == html
+
+
+def test_models_are_checked(spark):
+    with pytest.raises(ValueError):
+        Pipeline(spark, PipelineConfig(), listing_model=lambda: Script(), details_model=lambda: Script()).run(spark.createDataFrame([], "url string, html string"))
 
 
 def test_fetch(spark):
@@ -225,7 +271,7 @@ def test_events(spark):
     with pytest.raises(KeyError), log.stage("two"):
         raise KeyError("x")
     lines = [json.loads(r.value) for r in telemetry.event_lines(log.events()).collect()]
-    assert lines[0]["tokens"] == 7 and lines[0]["cache_hit"] == "True" and "url" not in lines[0] and lines[1]["error"] == "KeyError"
+    assert lines[0]["tokens"] == 7 and lines[0]["cache_hit"] is True and "url" not in lines[0] and lines[1]["error"] == "KeyError"
 
 
 def test_queue(spark, tmp_path):
