@@ -40,6 +40,10 @@ class Pipeline:
     def seeds(self) -> DataFrame:
         return store.seeds(self.spark, self.config.seed_urls)
 
+    def fetch(self, urls: DataFrame, fetcher: Callable, details: bool = False) -> DataFrame:
+        """A page store of the urls by a fetcher, under the configured limits on calls; in batches of 50, or of 20 for detail pages."""
+        return store.fetch(urls, fetcher, per_host=self.config.max_pages_per_host, calls=self.config.max_pages_global, batch_size=20 if details else 50, options=store.FetchOptions())
+
     def crawl(self, seeds: DataFrame, pages: DataFrame) -> DataFrame:
         return frontier.crawl(seeds, pages, self.config, score=lambda df: heuristics.score_pages(df, self.rules))
 

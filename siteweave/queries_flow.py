@@ -10,6 +10,7 @@ from .config import PipelineConfig, RetryPolicy, parse_headers
 from .functions import html as html_functions
 from .functions import text, urls
 from .operators import extract, frontier, heuristics, merge, telemetry
+from .plans.pipeline import Pipeline
 from .queries import _HOST, _LINKS, _NORMAL, _ROOTED, VOCABULARY, _minify_body_sql, _score_sql, _table, query
 from .session import work_path, written
 from .sources import store
@@ -35,10 +36,12 @@ FROM (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL)""")
 def fetch_rows(spark, sf_dir):
     """Every distinct url through the fetch source, in calls of 50 at most; some fail."""
 
-    def make():
+    def make(options):
+        if options.viewport != (1920, 1080):
+            raise ValueError("not the options")
         return lambda batch: ({"url": u, "html": f"<p>{u}</p>", "cleaned_html": str(len(batch))} if "spam" not in u else {"url": u, "success": False, "cleaned_html": str(len(batch))} for u in batch)
 
-    got = store.fetch(_table(spark, sf_dir, "pages").where("url is not null"), make, calls=10)
+    got = Pipeline(spark, PipelineConfig()).fetch(_table(spark, sf_dir, "pages").where("url is not null"), make)
     return got.select("url", "final_url", "html", "success", (F.col("cleaned_html").cast("int") <= 50).alias("within"))
 
 

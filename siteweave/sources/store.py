@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,23 +46,44 @@ def without_social_links(html: Column) -> Column:
     return F.regexp_replace(html, rf"""(?is)<a\b[^>]*\bhref\s*=\s*["']?\s*(?:https?:)?//(?:[a-z0-9-]+\.)*(?:{hosts})(?=[/:?#"'\s>])[^>]*>.*?</a\s*>""", "")
 
 
-def as_fetched(pages: DataFrame, styles: bool = False, social_links: bool = False) -> DataFrame:
-    """Pages as the fetch options leave them; by default neither styles nor social links stay."""
-    html = F.col("html") if styles else without_styles(F.col("html"))
-    return pages.withColumn("html", html if social_links else without_social_links(html))
+@dataclass(frozen=True)
+class FetchOptions:
+    """What a fetcher's browser is asked for, and what is taken out of its pages. The defaults are fixed values."""
 
+    browser: str = "chromium"
+    headless: bool = True
+    viewport: tuple[int, int] = (1920, 1080)
+    user_agent: str = "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 Chrome/116.0.0.0 Safari/537.36"
+    wait_until: str = "domcontentloaded"
+    frames: bool = True
+    overlays: bool = False
+    external_images: bool = False
+    external_links: bool = True
+    robots: bool = False
+    cache: bool = False
+    styles: bool = False
+    social_links: bool = False
 
-def fetch(urls: DataFrame, fetcher: Callable[[], Fetcher], url: str = "url", per_host: int = 5, calls: int | None = None, batch_size: int = 50) -> DataFrame:
+
+def as_fetched(pages: DataFrame, options: FetchOptions = FetchOptions()) -> DataFrame:
+    """Pages as the fetch options leave them; by default neither styles nor social links stay. The other options are the fetcher's."""
+    html = F.col("html") if options.styles else without_styles(F.col("html"))
+    return pages.withColumn("html", html if options.social_links else without_social_links(html))
+
+
+def fetch(
+    urls: DataFrame, fetcher: Callable[..., Fetcher], url: str = "url", per_host: int = 5, calls: int | None = None, batch_size: int = 50, options: FetchOptions | None = None
+) -> DataFrame:
     """The page-store rows that a fetcher returns. ``per_host`` bounds a host's parallel tasks, ``calls`` those of all
     hosts, neither ever the result.
 
-    ``fetcher`` is made once per task and called with batches of up to ``batch_size`` urls; a url it fails on is a row with
-    success = false.
+    ``fetcher`` is made once per task, with the options if there are any, and called with batches of up to ``batch_size`` urls;
+    a url it fails on is a row with success = false. With options the pages are left as these say.
     """
     names = ["url", "final_url", "html", "cleaned_html", "success"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = fetcher()
+        get = fetcher() if options is None else fetcher(options)
         for batch in batches:
             wanted = batch.column(0).to_pylist()
             for at in range(0, len(wanted), batch_size):
@@ -69,9 +91,11 @@ def fetch(urls: DataFrame, fetcher: Callable[[], Fetcher], url: str = "url", per
                 yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in rows], pa.schema([(n, pa.bool_() if n == "success" else pa.string()) for n in names]))
 
     by = [host(F.col(url)), F.pmod(F.xxhash64(url), F.lit(per_host))]
+    ship(urls.sparkSession)
     dealt = urls.select(F.col(url)).distinct()
     dealt = dealt.repartition(*by) if calls is None else dealt.repartition(calls, *by)  # a task calls once at a time
-    return dealt.mapInArrow(run, PAGE_STORE)
+    got = dealt.mapInArrow(run, PAGE_STORE)
+    return got if options is None else as_fetched(got, options)
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:

@@ -238,7 +238,7 @@ def test_fetch_options(spark):
     html = '<style>p{}</style><p>a</p><a href="https://www.facebook.com/x">f</a><a class=b href=//x.com>y</a><a href="https://notx.com/">n</a>'
     df = spark.createDataFrame([("u", html), ("v", None)], "url string, html string")
     assert [r.html for r in store.as_fetched(df).orderBy("url").collect()] == ['<p>a</p><a href="https://notx.com/">n</a>', None]
-    assert store.as_fetched(df, styles=True, social_links=True).orderBy("url").first().html == html
+    assert store.as_fetched(df, store.FetchOptions(styles=True, social_links=True)).orderBy("url").first().html == html
 
 
 def test_models_are_checked(spark):
