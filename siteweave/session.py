@@ -55,6 +55,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage with a written table in the shared folder; its path is kept in ``written_at``."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)  # a given schema spares a job that would look for it
     out.written_at = path
     return out
