@@ -1,9 +1,16 @@
-"""Quality rules with adaptive thresholds: fixed checks, then fences from mergeable KLL sketches per language and source.
+"""Quality rules with adaptive thresholds: fixed base checks, then fences from mergeable KLL sketches per language and source.
 
-Everything is DataFrame functions. Per document, base counts; per (lang, source), quantile sketches of derived
-ratios; sketches merge upwards to (lang) and to all documents for groups too small to judge; the fences join
-back and reject outliers. Counts and sketches cover every row. With the margin "spread" the sketches set the
-fences; with "slack", the default, a stated least margin holds as well, which is the wider one for most groups.
+Everything is DataFrame functions. Per document, counts of things (marks, capitals, ...) in a number of places (words,
+characters). Per (lang, source), a quantile sketch of each rule's shares; sketches merge upwards to (lang) and to all
+documents for groups too small to judge. The sketches alone set a group's fences: the upper quartile plus, and where
+few is odd too the lower quartile less, ``fence`` interquartile ranges. No rule has a cutoff of its own.
+
+A count in a short document says little, so it enters with its statistical error: the share sketched for the upper fence is
+(count + 1) / (places + 1), which spreads with the group's lengths even where most documents count nothing (for the lower
+one it is the plain share), and a document is beyond a fence only if its count less two standard errors (plus two and one,
+below) still is. What comes in lumps, such as the five words of a repeated window, has the error of its lumps.
+
+Counts and sketches cover every row; a row is scored once, into a written table, and joined with its group's fences.
 
 Defined results: a null text has no words and fails the base checks (fewer than ten words); null languages or
 sources are groups of their own; repeated rows are judged each; an empty table gives an empty result; extra
@@ -18,32 +25,30 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side
+from .common import let, materialize, small_side
 
 WORD = r"[^\x20\x09-\x0D]"
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 
-#: ratio -> (sides fenced, least slack beyond the quartile, so that uniform groups don't reject plain texts)
-RATIOS = {
-    "q_word_length": ("both", 3.0),
-    "q_symbols": ("upper", 0.25),
-    "q_dup_lines": ("upper", 0.30),
-    "q_repeats": ("upper", 0.20),
-    "q_capitals": ("upper", 0.30),
-    "q_shouts": ("upper", 0.30),
-}
 
-#: ratio -> (what it is divided by, units that any document may have beyond the fence, quantiles whose distance is the spread).
-#: The allowance is per document, not per word: it covers short texts, where one unit is a large ratio, and fades with length.
-#: Repeats are rare in plain texts, so their quartiles are zero and their spread is that of the tail.
-SPREADS = {
-    "q_word_length": ("n_words", 30, (0.25, 0.75)),
-    "q_symbols": ("n_words", 5, (0.25, 0.75)),
-    "q_dup_lines": (None, 4, (0.25, 0.75)),
-    "q_repeats": ("n_words", 60, (0.5, 0.95)),
-    "q_capitals": ("word_chars", 10, (0.25, 0.75)),
-    "q_shouts": ("n_words", 5, (0.25, 0.75)),
+@dataclass(frozen=True)
+class Rule:
+    """``count`` in ``places``; ``lump`` is how many come at once; ``both``: too few is odd as well."""
+
+    count: str
+    places: str
+    lump: int = 1
+    both: bool = False
+
+
+RULES = {
+    "word_length": Rule("word_chars", "n_words", both=True),
+    "symbols": Rule("n_symbols", "n_words"),
+    "dup_lines": Rule("n_dup_lines", "n_words"),
+    "repeats": Rule("n_repeat_words", "n_words", lump=5),
+    "capitals": Rule("n_capitals", "word_chars"),
+    "marks": Rule("n_marks", "n_words", both=True),
 }
 
 
@@ -54,13 +59,6 @@ class QualityParams:
     sketch_k: int = 1024
     fence: float = 4.0
     min_group: int = 50
-    #: "slack": at least the stated slack beyond the quartile; "spread": the sketched spread alone, and SPREADS' units per document.
-    margin: str = "slack"
-
-
-def _let(value: Column, body) -> Column:
-    """Evaluates ``value`` once and hands it to ``body`` (an expression inside a lambda would run per element)."""
-    return F.transform(F.array(value), body)[0]
 
 
 def _repeat_words(words: Column, n: Column) -> Column:
@@ -76,22 +74,16 @@ def _repeat_words(words: Column, n: Column) -> Column:
 
     def repeats(hashes: Column) -> Column:
         ordered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("p"))))
-        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(_let(_let(ordered, positions), covered))
+        return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(let(let(ordered, positions), covered))
 
-    windows = _let(words, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda i: F.xxhash64(F.slice(w, i, 5))))
-    return F.when(n < 6, F.lit(0).cast("long")).otherwise(_let(windows, repeats))
+    windows = let(words, lambda w: F.transform(F.sequence(F.lit(1), F.size(w) - 4), lambda i: F.xxhash64(F.slice(w, i, 5))))
+    return F.when(n < 6, F.lit(0).cast("long")).otherwise(let(windows, repeats))
 
 
 def score(df: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """Adds the base counts, ``base_failed`` and the ratios to each row; needs a ``text`` column."""
-    own = ["_t", "_words", "_lines", "_letters"]
-    text = F.coalesce(F.col("text"), F.lit(""))
-    df = df.withColumn("_t", text).withColumns(
-        {
-            "_words": F.array_remove(F.split("_t", GAP), ""),
-            "_lines": F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD)),
-        }
-    )
+    """Adds the counts and ``base_failed`` to each row; needs a ``text`` column."""
+    df = df.withColumn("_t", F.coalesce(F.col("text"), F.lit("")))
+    df = df.withColumns({"_words": F.array_remove(F.split("_t", GAP), ""), "_lines": F.filter(F.split("_t", "\n"), lambda x: x.rlike(WORD))})
     df = df.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
@@ -99,89 +91,73 @@ def score(df: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
             "n_symbols": F.regexp_count("_t", F.lit(SYMBOL)).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": _repeat_words(F.col("_words"), F.size("_words")),
-            "_n_lines": F.size("_lines"),
-            "_n_caps": F.regexp_count("_t", F.lit(r"\p{Lu}")),
-            "_n_shouts": F.regexp_count("_t", F.lit(r"!!+")),
+            "n_capitals": F.regexp_count("_t", F.lit(r"\p{Lu}")).cast("long"),
+            "n_marks": F.regexp_count("_t", F.lit("[.,;:!?]")).cast("long"),
         }
     )
     failed = (F.col("n_words") < params.min_words) | (100 * F.col("n_repeat_words") > params.max_repeat_percent * F.col("n_words"))
-    per_word = lambda c: F.when(F.col("n_words") > 0, F.col(c) / F.col("n_words")).otherwise(F.lit(0.0))
-    df = df.withColumns(
-        {
-            "base_failed": failed,
-            "q_word_length": per_word("word_chars"),
-            "q_symbols": per_word("n_symbols"),
-            "q_dup_lines": F.when(F.col("_n_lines") > 0, F.col("n_dup_lines") / F.col("_n_lines")).otherwise(F.lit(0.0)),
-            "q_repeats": per_word("n_repeat_words"),
-            "q_capitals": F.when(F.col("word_chars") > 0, F.col("_n_caps") / F.col("word_chars")).otherwise(F.lit(0.0)),
-            "q_shouts": per_word("_n_shouts"),
-        }
-    )
-    # A filter never moves below a projection with an id; it would take a copy of every expression with it.
-    df = df.drop(*own, "_n_lines", "_n_caps", "_n_shouts").withColumn("_once", F.monotonically_increasing_id())
-    return df.where("_once >= 0").drop("_once")
+    return df.withColumn("base_failed", failed).drop("_t", "_words", "_lines")
 
 
 def sketches(scored: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """One row per (lang, source) with a count and a KLL sketch of each ratio; partial sketches merge before the shuffle."""
-    passed = scored.where(~F.col("base_failed"))
-    return passed.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(r, F.lit(params.sketch_k)).alias(r) for r in RATIOS))
+    """One row per (lang, source) with a count and a KLL sketch of each rule's shares; partial sketches merge before the shuffle."""
+    shares = {}
+    for name, rule in RULES.items():
+        shares[f"{name}_hi"] = (F.col(rule.count) + 1) / (F.col(rule.places) + 1)
+        if rule.both:
+            shares[f"{name}_lo"] = F.col(rule.count) / F.col(rule.places)
+    sketch = [F.kll_sketch_agg_double(share, F.lit(params.sketch_k)).alias(fence) for fence, share in shares.items()]
+    return scored.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"), *sketch)
+
+
+def _fences(grouped: DataFrame, params: QualityParams) -> DataFrame:
+    """Replaces each sketch by its fence: <rule>_hi, and for rules of both sides <rule>_lo."""
+    cols = {}
+    for fence in _fence_names(grouped):
+        q1, q3 = (F.kll_sketch_get_quantile_double(fence, F.lit(q)) for q in (0.25, 0.75))
+        cols[fence] = q3 + params.fence * (q3 - q1) if fence.endswith("_hi") else q1 - params.fence * (q3 - q1)
+    return grouped.withColumns(cols)
 
 
-def _fences(grouped: DataFrame, prefix: str, params: QualityParams) -> DataFrame:
-    cols = {}
-    for ratio, (sides, slack) in RATIOS.items():
-        q1, q3 = (F.kll_sketch_get_quantile_double(ratio, F.lit(q)) for q in (0.25, 0.75))
-        if params.margin == "spread":
-            low, high = (F.kll_sketch_get_quantile_double(ratio, F.lit(q)) for q in SPREADS[ratio][2])
-            room = params.fence * (high - low)
-        else:
-            room = F.greatest(F.lit(slack), params.fence * (q3 - q1))
-        cols[f"{prefix}{ratio}_hi"] = q3 + room
-        if sides == "both":
-            cols[f"{prefix}{ratio}_lo"] = q1 - room
-    return grouped.withColumns(cols).drop(*RATIOS)
+def _fence_names(grouped: DataFrame) -> list[str]:
+    return [c for c in grouped.columns if c not in ("lang", "source", "n")]
 
 
 def thresholds(grouped: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """Fences per (lang, source); groups under ``min_group`` rows take those of their language, else of all rows."""
-    merge = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(r).alias(r) for r in RATIOS)]
-    own = _fences(grouped, "", params)
-    lang = _fences(grouped.groupBy("lang").agg(*merge), "l_", params).withColumnRenamed("n", "l_n").withColumnRenamed("lang", "l_lang")
-    every = _fences(grouped.agg(*merge), "a_", params).withColumnRenamed("n", "a_n")
+    """(t_lang, t_source, t_<fence>...) per group; groups under ``min_group`` rows take their language's fences, else those of all rows."""
+    names = _fence_names(grouped)
+    merge = [F.sum("n").alias("n"), *(F.kll_merge_agg_double(c).alias(c) for c in names)]
+    own = _fences(grouped, params)
+    lang = _fences(grouped.groupBy("lang").agg(*merge), params).select(F.col("lang").alias("l_lang"), F.col("n").alias("l_n"), *(F.col(c).alias(f"l_{c}") for c in names))
+    every = _fences(grouped.agg(*merge), params).select(*(F.col(c).alias(f"a_{c}") for c in names))
     out = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left").join(F.broadcast(every))  # one row
-    names = [c for c in own.columns if c.startswith("q_")]
     pick = lambda c: F.when(F.col("n") >= params.min_group, F.col(c)).when(F.col("l_n") >= params.min_group, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
     return out.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *(pick(c).alias(f"t_{c}") for c in names))
 
 
-def _beyond(ratio: str, more: Column, less: Column, params: QualityParams) -> Column:
-    """Whether ``more``, of a ratio and its fence, is so far over ``less`` that the document goes."""
-    if params.margin != "spread":
-        return F.coalesce(more > less, F.lit(False))
-    base, units, _ = SPREADS[ratio]
-    n = F.col(base) if base else F.when(F.col(ratio) > 0, F.col("n_dup_lines") / F.col(ratio))
-    return F.coalesce((more - less) * n > units, F.lit(False))
+def _outside(name: str, rule: Rule) -> Column:
+    """Whether the count, less or plus two standard errors, is still beyond the group's fence."""
+    count, places = F.col(rule.count), F.col(rule.places)
+    error = 2 * F.sqrt(rule.lump * count)
+    out = (count - error) / places > F.col(f"t_{name}_hi")
+    if rule.both:
+        out = out | ((count + error + 1) / places < F.col(f"t_{name}_lo"))
+    return F.coalesce(out, F.lit(False))
 
 
-def keep(scored: DataFrame, limits: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """Adds ``kept``: false if the base checks fail or a ratio is beyond its group's fence."""
+def keep(scored: DataFrame, limits: DataFrame) -> DataFrame:
+    """Adds ``kept``: false if the base checks fail or a count is beyond its group's fence."""
     on = F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source"))
     outside = F.lit(False)
-    for ratio, (sides, _) in RATIOS.items():
-        outside = outside | _beyond(ratio, F.col(ratio), F.col(f"t_{ratio}_hi"), params)
-        if sides == "both":
-            outside = outside | _beyond(ratio, F.col(f"t_{ratio}_lo"), F.col(ratio), params)
-    out = scored.join(limits, on, "left").withColumn("kept", ~F.col("base_failed") & ~outside)
-    return out.drop(*(c for c in limits.columns))
+    for name, rule in RULES.items():
+        outside = outside | _outside(name, rule)
+    return scored.join(limits, on, "left").withColumn("kept", ~F.col("base_failed") & ~outside).drop(*limits.columns)
 
 
 def adaptive_filter(df: DataFrame, params: QualityParams = QualityParams(), carry: tuple[str, ...] = ()) -> DataFrame:
-    """Judged rows with the ``carry`` columns. Without the text, scores are kept in a narrow written table and computed
-    once; with it, they are computed again for the filter, which costs CPU but neither writes nor shuffles a text."""
-    df = df.select(*dict.fromkeys((*carry, "lang", "source", "text")))
-    scored = score(df, params)
-    if "text" not in carry:
-        scored = materialize(scored.drop("text"), "quality")
+    """Judged rows: the ``carry`` columns, lang, source, the counts, ``base_failed`` and ``kept``. A carried column of a computed
+    one's name gives way to it; carry a struct to have any."""
+    scored = score(df.select(*dict.fromkeys((*carry, "lang", "source", "text"))), params)
+    scored = materialize(scored if "text" in carry else scored.drop("text"), "quality")
     limits = small_side(materialize(thresholds(sketches(scored, params), params), "fences"))
-    return keep(scored, limits, params)
+    return keep(scored, limits)

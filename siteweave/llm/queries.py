@@ -40,6 +40,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_packing_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns of ``conversations`` under three limits that all bind: answers bear loss, prompts don't."""
+    params = packing.PackParams(max_tokens=2048, max_segments=16, max_loss=1024)
+    pieces = packing.pack_turns(table(spark, sf_dir, "conversations"), word_tokenizer_path(), 1, params)
+    return pieces.select("key.conv_id", "key.turn", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bears")
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -49,17 +56,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-def op6_quality_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.adaptive_filter(table(spark, sf_dir, "documents"), quality_rules.QualityParams(margin="spread"), carry=("doc_id",))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-
-
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.span_digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = token_files.write(table(spark, sf_dir, "documents"), word_tokenizer_path(), end_id=2, vocabulary=49_408)
+    store = token_files.write(table(spark, sf_dir, "documents"), word_tokenizer_path(), end_id=2)
     found = token_files.read(store, token_files.locate(store, store.manifest.select("doc_id", "occurrence")))
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
@@ -81,9 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_join": op3_ngram_join,
     "op3_ngram_links": op3_ngram_links,
     "op4_packing": op4_packing,
+    "op4_packing_turns": op4_packing_turns,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
-    "op6_quality_spread": op6_quality_spread,
     "op7_secret_scans": op7_secret_scans,
     "op8_token_files": op8_token_files,
     "op9_byte_bpe": op9_byte_bpe,
@@ -91,13 +93,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _OP1_SQL = r"""
-WITH parts AS (
-  SELECT page_id, url, html, instr(coalesce(url, ''), '://') AS pos FROM pages
+WITH RECURSIVE tagged AS (
+  SELECT page_id, url, list_filter(regexp_extract_all(regexp_replace(html,
+      '(?is)<!--(?:>|->|.*?(?:--!?>|\z))|<(?:script\b.*?</script|style\b.*?</style|textarea\b.*?</textarea|title\b.*?</title)\b[^>]*>', ' ', 'g'),
+      '(?is)<[a-z][^\s/>]*(?:[^>=]|=\s*(?:"[^"]*"|''[^'']*''|[^\s>"''][^\s>]*)?)*>'), lambda t: regexp_matches(t, '(?i)^<(link|meta|base)[\s/]')) AS ts
+  FROM pages WHERE instr(url, '://') > 0 AND (html ILIKE '%canonical%' OR html ILIKE '%refresh%')
+), tags AS (
+  SELECT row_number() OVER () AS tag, url, p, lower(substr(ts[p], 2, 4)) AS kind, regexp_extract_all(ts[p], '([^\s"''<>/=][^\s>/=]*)\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>][^\s>]*))') AS ats,
+    page_id FROM (SELECT page_id, url, ts, unnest(range(1, len(ts) + 1)) AS p FROM tagged)
+), raw_values AS (
+  SELECT tag, lower(regexp_extract(a, '^[^\s=]+')) AS name, regexp_replace(regexp_replace(a, '^[^\s=]+\s*=\s*', ''), '^["'']|["'']$', '', 'g') AS v, k
+  FROM (SELECT tag, ats[k] AS a, k FROM (SELECT tag, ats, unnest(range(1, len(ats) + 1)) AS k FROM tags))
+), named AS (
+  SELECT tag, name, regexp_replace(array_to_string(list_transform(range(1, len(ps) + 1), lambda i: ps[i] || CASE
+      WHEN es[i] IS NULL THEN '' WHEN es[i] = '&amp;' THEN '&' WHEN es[i] = '&lt;' THEN '<' WHEN es[i] = '&gt;' THEN '>' WHEN es[i] = '&quot;' THEN '"' WHEN es[i] = '&apos;' THEN ''''
+      WHEN es[i] ILIKE '&#x%' THEN chr(('0x' || regexp_extract(es[i], '[0-9a-fA-F]+'))::INTEGER) ELSE chr(regexp_extract(es[i], '[0-9]+')::INTEGER) END), ''), '^[\x00-\x20]+|[\x00-\x20]+$|[\t\r\n]', '', 'g') AS v
+  FROM (SELECT tag, name, string_split_regex(v, '&(?:#[xX][0-9a-fA-F]{1,8}|#[0-9]{1,9}|amp|lt|gt|quot|apos);') AS ps,
+    regexp_extract_all(v, '&(?:#[xX][0-9a-fA-F]{1,8}|#[0-9]{1,9}|amp|lt|gt|quot|apos);') AS es FROM raw_values QUALIFY row_number() OVER (PARTITION BY tag, name ORDER BY k) = 1)
+), marks AS (
+  SELECT t.page_id, t.url, t.p, t.kind, h.v AS href, r.v AS rel, e.v AS equiv, c.v AS content FROM tags t LEFT JOIN named h ON h.tag = t.tag AND h.name = 'href'
+    LEFT JOIN named r ON r.tag = t.tag AND r.name = 'rel' LEFT JOIN named e ON e.tag = t.tag AND e.name = 'http-equiv' LEFT JOIN named c ON c.tag = t.tag AND c.name = 'content'
+), bases AS (SELECT page_id, url, arg_min(href, p) AS href FROM marks WHERE kind = 'base' AND href <> '' GROUP BY page_id, url
+), goals AS (
+  SELECT page_id, url, CASE WHEN kind = 'link' AND regexp_matches(rel, '(?i)(^|\s)canonical(\s|$)') THEN href WHEN kind = 'meta' AND lower(equiv) = 'refresh' THEN
+    trim(CASE WHEN regexp_matches(content, '(?i)^\s*[\d.]+\s*[;,\s]') OR regexp_matches(regexp_extract(content, '(?is)^\s*[\d.]*\s*[;,]?\s*(.*)$', 1), '(?i)^url\s*=') THEN
+      regexp_extract(regexp_replace(regexp_extract(content, '(?is)^\s*[\d.]*\s*[;,]?\s*(.*)$', 1), '(?i)^url\s*=\s*', ''), '(?s)^(?:["'']([^"'']*)|.*)', 0) END, '"'' ') END AS goal FROM marks
+), steps AS (
+  SELECT page_id, url AS from_url, url AS base, b.href AS ref, g.goal, 0 AS step FROM goals g LEFT JOIN bases b USING (page_id, url) WHERE g.goal <> ''
+), refs AS (  -- the base tag's own address first, then the target's, each resolved alike
+  SELECT from_url, base, coalesce(regexp_replace(ref, '#.*$', ''), '') AS ref, goal, 0 AS step FROM steps
+  UNION ALL
+  SELECT from_url, resolved, regexp_replace(goal, '#.*$', ''), goal, step + 1 FROM (
+    SELECT *, CASE WHEN starts_with(raw, '!') THEN base ELSE regexp_extract(raw, '^[^:/?#]+://[^/?#]*') || CASE WHEN regexp_matches(pth, '/\.\.?(/|$)') THEN
+        '/' || array_to_string(kept, '/') || CASE WHEN regexp_matches(pth, '/\.\.?$') AND len(kept) > 0 THEN '/' ELSE '' END ELSE pth END || regexp_extract(raw, '\?.*$') END AS resolved
+    FROM (SELECT *, regexp_extract(raw, '^[^:/?#]+://[^/?#]*([^?#]*)', 1) AS pth, list_reduce(list_transform(string_split(substr(regexp_extract(raw, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), 2), '/'), lambda x: [x]),
+        lambda done, part: CASE WHEN part[1] = '.' THEN done WHEN part[1] = '..' THEN done[:-2] ELSE list_concat(done, part) END, []::VARCHAR[]) AS kept
+      FROM (SELECT *, CASE WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*:') AND NOT regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN '!'
+          WHEN regexp_matches(ref, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN ref WHEN starts_with(ref, '//') THEN regexp_extract(base, '^([^:/?#]+)://', 1) || ':' || ref
+          WHEN ref = '' THEN regexp_extract(base, '^[^#]*') WHEN starts_with(ref, '?') THEN regexp_extract(base, '^[^?#]*') || ref
+          WHEN starts_with(ref, '/') THEN regexp_extract(base, '^[^:/?#]+://[^/?#]*') || ref
+          ELSE regexp_extract(base, '^[^:/?#]+://[^/?#]*') || coalesce(nullif(regexp_extract(base, '^[^:/?#]+://[^/?#]*([^?#]*/)', 1), ''), '/') || ref END AS raw FROM refs WHERE step < 2))
+  ) WHERE NOT (step = 1 AND starts_with(raw, '!'))
+), addresses AS (
+  SELECT page_id, url FROM pages UNION ALL SELECT NULL, from_url FROM refs WHERE step = 2 UNION ALL SELECT NULL, base FROM refs WHERE step = 2
 ), rests AS (
-  SELECT page_id, url, html, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS rest, pos FROM parts
+  SELECT page_id, url, instr(coalesce(url, ''), '://') AS pos, CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM addresses
 ), split AS (
-  SELECT page_id, url, html, pos, rest,
-    translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, url, pos, rest, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
 ), keyed AS (
   SELECT *, CASE WHEN pos > 0 THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') ||
@@ -112,11 +154,15 @@ WITH parts AS (
     WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM keyed
 ), decided AS (
   SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS own FROM ruled
-), votes AS (
-  SELECT k, bool_or(own = 'block') AS blocked, bool_or(own = 'allow') AS allowed FROM decided WHERE k IS NOT NULL GROUP BY k
-), shut AS (SELECT k FROM votes WHERE blocked AND NOT coalesce(allowed, false))
-SELECT page_id, host, path, rule, coalesce(own, CASE WHEN shut.k IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
-FROM decided LEFT JOIN shut USING (k)
+), edges AS (
+  SELECT DISTINCT a.k AS x, b.k AS y FROM refs r JOIN keyed a ON a.url = r.from_url JOIN keyed b ON b.url = r.base WHERE r.step = 2 AND a.k IS NOT NULL AND b.k IS NOT NULL
+), both_ways AS (SELECT x, y FROM edges UNION SELECT y, x FROM edges
+), reach AS (SELECT x AS node, x AS to_node FROM both_ways UNION SELECT node, y FROM reach JOIN both_ways ON x = to_node
+), homes AS (SELECT node AS k, min(to_node) AS home FROM reach GROUP BY node
+), placed AS (SELECT d.*, coalesce(home, k) AS home FROM decided d LEFT JOIN homes USING (k)
+), shut AS (SELECT home FROM placed WHERE home IS NOT NULL GROUP BY home HAVING bool_or(own = 'block') AND NOT coalesce(bool_or(own = 'allow'), false))
+SELECT page_id, host, path, rule, coalesce(own, CASE WHEN shut.home IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM (SELECT p.page_id, q.* EXCLUDE (page_id) FROM pages p JOIN (SELECT DISTINCT ON (url) * FROM placed) q ON q.url IS NOT DISTINCT FROM p.url) f LEFT JOIN shut USING (home)
 """
 
 _OP6_SQL = r"""
@@ -134,34 +180,29 @@ WITH base AS (
 ), counts AS (
   SELECT b.doc_id, lang, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
     len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines,
-    coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(ls) AS n_lines,
-    len(regexp_extract_all(t, '\p{Lu}')) AS caps, len(regexp_extract_all(t, '!!+')) AS shouts
+    coalesce(r.n, 0)::BIGINT AS n_repeat_words, len(regexp_extract_all(t, '\p{Lu}')) AS caps, len(regexp_extract_all(t, '[.,;:!?]')) AS marks
   FROM base b LEFT JOIN reps r USING (doc_id)
-), ratios AS (
-  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-    CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS q1, CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS q2,
-    CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS q3, CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END AS q4,
-    CASE WHEN word_chars > 0 THEN caps / word_chars ELSE 0 END AS q5, CASE WHEN n_words > 0 THEN shouts / n_words ELSE 0 END AS q6
-  FROM counts
+), judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts
 ), long AS (
-  SELECT lang, source, q, v, s FROM (SELECT lang, source, unnest([1, 2, 3, 4, 5, 6]) AS q, unnest([q1, q2, q3, q4, q5, q6]) AS v,
-    unnest([3.0, 0.25, 0.30, 0.20, 0.30, 0.30]) AS s FROM ratios WHERE NOT base_failed)
+  SELECT doc_id, lang, source, base_failed, unnest([1, 2, 3, 4, 5, 6]) AS q,
+    unnest([word_chars, n_symbols, n_dup_lines, n_repeat_words, caps, marks]) AS x, unnest([n_words, n_words, n_words, n_words, word_chars, n_words]) AS m,
+    unnest([1, 1, 1, 5, 1, 1]) AS lump, unnest([true, false, false, false, false, true]) AS both_sides FROM judged
 ), quarts AS (
-  SELECT GROUPING(lang) AS gl, GROUPING(source) AS gs, lang, source, q, any_value(s) AS s, count(*) AS n,
-    quantile_disc(v, 0.25) AS a, quantile_disc(v, 0.75) AS b FROM long GROUP BY GROUPING SETS ((lang, source, q), (lang, q), (q))
-), fences AS (
-  SELECT *, a - greatest(s, 4.0 * (b - a)) AS lo, b + greatest(s, 4.0 * (b - a)) AS hi FROM quarts
+  SELECT GROUPING(lang) AS gl, GROUPING(source) AS gs, lang, source, q, count(*) AS n,
+    quantile_disc((x + 1) / (m + 1), 0.25) AS a, quantile_disc((x + 1) / (m + 1), 0.75) AS b, quantile_disc(x / m, 0.25) AS c, quantile_disc(x / m, 0.75) AS d
+  FROM long WHERE NOT base_failed GROUP BY GROUPING SETS ((lang, source, q), (lang, q), (q))
+), fences AS (SELECT *, c - 4.0::DOUBLE * (d - c) AS lo, b + 4.0::DOUBLE * (b - a) AS hi FROM quarts
 ), chosen AS (
   SELECT g.lang, g.source, g.q, CASE WHEN g.n >= 50 THEN g.lo WHEN l.n >= 50 THEN l.lo ELSE a.lo END AS lo,
     CASE WHEN g.n >= 50 THEN g.hi WHEN l.n >= 50 THEN l.hi ELSE a.hi END AS hi
   FROM fences g JOIN fences l ON l.gl = 0 AND l.gs = 1 AND l.q = g.q AND l.lang IS NOT DISTINCT FROM g.lang
     JOIN fences a ON a.gl = 1 AND a.gs = 1 AND a.q = g.q WHERE g.gl = 0 AND g.gs = 0
 ), beyond AS (
-  SELECT DISTINCT doc_id FROM (SELECT doc_id, lang, source, unnest([1, 2, 3, 4, 5, 6]) AS q, unnest([q1, q2, q3, q4, q5, q6]) AS v FROM ratios) r
-  JOIN chosen c ON c.q = r.q AND c.lang IS NOT DISTINCT FROM r.lang AND c.source IS NOT DISTINCT FROM r.source WHERE v > hi OR (r.q = 1 AND v < lo)
+  SELECT DISTINCT doc_id FROM long r JOIN chosen c ON c.q = r.q AND c.lang IS NOT DISTINCT FROM r.lang AND c.source IS NOT DISTINCT FROM r.source
+  WHERE m > 0 AND ((x - 2 * sqrt(lump * x)) / m > hi OR both_sides AND (x + 2 * sqrt(lump * x) + 1) / m < lo)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM beyond) AS kept FROM ratios
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM beyond) AS kept FROM judged
 """
 
 _OP2_SQL = r"""

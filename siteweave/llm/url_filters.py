@@ -6,9 +6,13 @@ spellings of one address), components are computed distributedly, and a componen
 blocked, unless it also has an explicitly allowed member: explicit allow has precedence. The rest is allowed.
 Members are all ends of edges, whether or not they are rows of pages.
 
+Edges of a page are its canonical links and refresh targets, all of them: read from whole tags (so neither from comments,
+scripts and styles nor from other attributes' values), with character references decoded, and resolved by RFC 3986 against
+the page's url or its ``base`` tag. Targets without ``://`` after that (mail addresses, scripts) are no edges.
+
 DataFrame functions only. Defined results: a null url, or one without ``://``, has empty host and path, no rule,
-no aliases and is allowed; repeated rows are judged each; a null html has no edges; extra columns pass through
-(a computed column replaces one of its name); an empty table gives an empty result.
+no aliases and is allowed; repeated rows are judged each; a null html has no edges; urls and pages of any length are read
+whole; extra columns pass through (a computed column replaces one of its name); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,14 +20,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_side
+from .common import let, materialize, small_side
 from .graph import connected_components
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Query keys that don't change what a url shows.
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid)(=|$)"
-CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)<meta\b(?=[^>]*http-equiv\s*=\s*[\"']?refresh\b)[^>]*\bcontent\s*=\s*[\"'][^\"'>]*?url\s*=\s*([^\"'\s>]+)"
+#: What holds no tags: comments, and elements whose content is text.
+SKIPPED = r"(?is)<!--(?:>|->|.*?(?:--!?>|\z))|<(?:script\b.*?</script|style\b.*?</style|textarea\b.*?</textarea|title\b.*?</title)\b[^>]*>"
+TAG = r"""(?is)<[a-z][^\s/>]*+(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+>"""
+#: Name, then the value as one of three groups.
+ATTRIBUTE = r"""([^\s"'<>/=][^\s>/=]*+)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+))"""
+REFERENCE = r"&(?:#[xX][0-9a-fA-F]{1,8}|#[0-9]{1,9}|amp|lt|gt|quot|apos);"
+NAMED = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'"}
 #: Up to this many rules are one expression; longer lists are joined on host suffixes.
 COMPILED_RULES = 256
 
@@ -43,33 +52,108 @@ def path_of(url: Column) -> Column:
 
 def alias_key(url: Column) -> Column:
     """One spelling for an address: host without ``www.``, path without end slash, query without tracking keys, no fragment."""
-    rest = _rest(url)
-    host = F.regexp_replace(host_of(url), r"^www\.", "")
-    query = F.regexp_extract(rest, r"^[^?#]*\?([^#]*)", 1)
-    args = F.filter(F.split(query, "&"), lambda a: (a != "") & ~a.rlike(TRACKING))
-    path = F.regexp_replace(path_of(url), r"/+$", "")
-    return F.when(F.instr(url, "://") > 0, F.concat(host, path, F.when(F.size(args) > 0, F.concat(F.lit("?"), F.array_join(args, "&"))).otherwise(F.lit(""))))
+
+    def key(url: Column) -> Column:
+        host = F.regexp_replace(host_of(url), r"^www\.", "")
+        query = F.regexp_extract(_rest(url), r"^[^?#]*\?([^#]*)", 1)
+        args = F.array_join(F.filter(F.split(query, "&"), lambda a: (a != "") & ~a.rlike(TRACKING)), "&")
+        path = F.regexp_replace(path_of(url), r"/+$", "")
+        return F.when(F.instr(url, "://") > 0, F.concat(host, path, let(args, lambda x: F.when(x != "", F.concat(F.lit("?"), x)).otherwise(F.lit("")))))
+
+    return let(url, key)
+
+
+def _undotted(path: Column) -> Column:
+    """The path without its ``.`` and ``..`` segments."""
+
+    def put(done: Column, part: Column) -> Column:
+        return F.when(part == ".", done).when(part == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(part)))
+
+    def short(path: Column) -> Column:
+        kept = F.aggregate(F.split(F.substring(path, 2, 1 << 30), "/"), F.array().cast("array<string>"), put)
+        ended = lambda x: F.concat(F.lit("/"), F.array_join(x, "/"), F.when(path.rlike(r"/\.\.?$") & (F.size(x) > 0), F.lit("/")).otherwise(F.lit("")))
+        return F.when(path.rlike(r"/\.\.?(/|$)"), let(kept, ended)).otherwise(path)
+
+    return let(path, short)
 
 
 def resolve(base: Column, target: Column) -> Column:
-    """Absolute form of a link target: absolute, scheme-relative, root-relative or relative to the page's folder."""
-    scheme = F.regexp_extract(base, r"^([^:/?#]+)://", 1)
-    root = F.concat(scheme, F.lit("://"), host_of(base))
-    folder = F.regexp_extract(F.concat(path_of(base), F.lit("")), r"^(.*/)", 1)
-    return (
-        F.when(F.instr(target, "://") > 0, target)
-        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
-        .when(target.startswith("/"), F.concat(root, target))
-        .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), target))
-    )
+    """Absolute form of a reference by RFC 3986, without its fragment; ``base`` is absolute, with ``://``."""
+    part = lambda text, pattern, i=1: F.regexp_extract(text, pattern, i)
+
+    def joined(x: Column) -> Column:
+        base, ref = x["base"], x["ref"]
+        root, path = part(base, r"^([^:/?#]+://[^/?#]*)"), path_of(base)
+        absolute = lambda whole: F.concat(part(whole, r"^[^:/?#]+://[^/?#]*", 0), _undotted(path_of(whole)), part(whole, r"\?.*$", 0))
+        folder = F.coalesce(F.nullif(part(path, r"^(.*/)"), F.lit("")), F.lit("/"))
+        return (
+            F.when(ref.rlike("^[A-Za-z][A-Za-z0-9+.-]*:(?!//)"), F.lit(None))
+            .when(ref.rlike("^([A-Za-z][A-Za-z0-9+.-]*:)?//"), let(F.when(ref.startswith("//"), F.concat(part(base, r"^([^:/?#]+:)//"), ref)).otherwise(ref), absolute))
+            .when(ref == "", part(base, "^[^#]*", 0))
+            .when(ref.startswith("?"), F.concat(root, path, ref))
+            .otherwise(F.concat(root, _undotted(F.concat(F.when(ref.startswith("/"), F.lit("")).otherwise(folder), part(ref, "^[^?]*", 0))), part(ref, r"\?.*$", 0)))
+        )
+
+    return let(F.struct(base.alias("base"), F.regexp_replace(target, "#.*$", "").alias("ref")), joined)
+
+
+def _decoded(value: Column) -> Column:
+    """The text with its character references read, each once, and without the white space that urls don't keep."""
+
+    def one(reference: Column) -> Column:
+        name = F.substring(reference, 2, 1 << 30)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.regexp_extract(name, "[0-9a-fA-F]+", 0), 16, 10)).otherwise(F.regexp_extract(name, "[0-9]+", 0)).cast("long")
+        number = F.when((number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF), number).otherwise(F.lit(0xFFFD))
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        for word, stands_for in NAMED.items():
+            char = F.when(name == f"{word};", F.lit(stands_for)).otherwise(char)
+        return char
+
+    def read(value: Column) -> Column:
+        chars = F.transform(F.regexp_extract_all(value, F.lit(REFERENCE), F.lit(0)), one)
+        pieces = F.zip_with(F.split(value, REFERENCE), chars, lambda text, char: F.concat(text, F.coalesce(char, F.lit(""))))
+        return F.when(value.contains("&"), F.array_join(pieces, "")).otherwise(value)
+
+    return F.regexp_replace(let(value, read), r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\r\n]", "")
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The decoded value of the tag's first attribute of this name, or null."""
+    found = F.get(F.filter(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), lambda a: a.rlike(rf"(?i)^{name}\s*=")), F.lit(0))
+    return _decoded(let(found, lambda a: F.concat(*(F.regexp_extract(a, ATTRIBUTE, i) for i in (2, 3, 4)))))
+
+
+def _refresh(content: Column) -> Column:
+    """The url in the content of a refresh: seconds, a mark, ``url=`` and the url, which may be quoted."""
+    def url(x: Column) -> Column:
+        quoted = F.regexp_extract(x, r"""(?s)^["']([^"']*)""", 1)
+        return F.trim(F.when(x.rlike("""^["']"""), quoted).otherwise(x))
+
+    def read(content: Column) -> Column:
+        rest = F.regexp_extract(content, r"(?is)^\s*[\d.]*\s*[;,]?\s*(.*)$", 1)
+        timed = content.rlike(r"(?i)^\s*[\d.]+\s*[;,\s]")
+        return let(rest, lambda x: F.when(timed | x.rlike(r"(?i)^url\s*="), let(F.regexp_replace(x, r"(?i)^url\s*=\s*", ""), url)))
+
+    return let(content, read)
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """(from_url, to_url): the canonical link and the refresh target of a page."""
-    marked = pages.where("url is not null and (html ilike '%canonical%' or html ilike '%refresh%')")
-    target = lambda p: F.nullif(F.regexp_extract("html", p, 1), F.lit(""))
-    links = marked.select("url", F.explode(F.array(target(CANONICAL), target(REFRESH))).alias("target")).where("target is not null")
-    return links.select(F.col("url").alias("from_url"), resolve(F.col("url"), F.col("target")).alias("to_url"))
+    """(from_url, to_url): every canonical link and refresh target of a page."""
+    marked = pages.where("instr(url, '://') > 0 and (html ilike '%canonical%' or html ilike '%refresh%')")
+    tags = F.regexp_extract_all(F.regexp_replace("html", SKIPPED, " "), F.lit(TAG), F.lit(0))
+    tagged = marked.select("url", F.filter(tags, lambda t: t.rlike(r"(?i)^<(link|meta|base)[\s/]")).alias("tags"))
+
+    def target(tag: Column) -> Column:
+        canonical = tag.rlike("(?i)^<link") & _attribute(tag, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)")
+        refresh = tag.rlike("(?i)^<meta") & (F.lower(_attribute(tag, "http-equiv")) == "refresh")
+        return F.when(canonical, _attribute(tag, "href")).when(refresh, _refresh(_attribute(tag, "content")))
+
+    given = lambda values: F.filter(values, lambda x: x.isNotNull() & (x != ""))
+    base = F.get(given(F.transform(F.filter("tags", lambda t: t.rlike("(?i)^<base")), lambda t: _attribute(t, "href"))), F.lit(0))
+    # a table of few and narrow rows, so that no later filter repeats the parsing
+    read = materialize(tagged.select("url", base.alias("base"), F.explode(given(F.transform("tags", target))).alias("target")), "page-links")
+    stands = F.coalesce(resolve(F.col("url"), F.col("base")), F.col("url"))
+    return read.select(F.col("url").alias("from_url"), resolve(stands, F.col("target")).alias("to_url"))
 
 
 def _parts(rule: str) -> tuple[str, str]:
