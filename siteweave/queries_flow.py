@@ -6,9 +6,9 @@ import json
 
 from pyspark.sql import functions as F
 
-from .config import PipelineConfig, RetryPolicy, parse_headers
+from .config import HeuristicConfig, PipelineConfig, RetryPolicy, parse_headers
 from .functions import html as html_functions
-from .functions import text, urls
+from .functions import text, urls, validate
 from .operators import extract, frontier, heuristics, merge, telemetry
 from .plans.pipeline import Pipeline
 from .queries import _HOST, _LINKS, _NORMAL, _ROOTED, VOCABULARY, _minify_body_sql, _score_sql, _table, query
@@ -180,6 +180,24 @@ def score_one_page(spark, sf_dir):
     return spark.createDataFrame([(heuristics.score_listing(spark, page.html, page.url, VOCABULARY)[0],)], "score double")
 
 
+WEAK = HeuristicConfig(max_links=1, pager_words=("onward",), pager_symbols=(), pager_classes=("pagination",))
+
+
+@query("SELECT page_id, CASE WHEN starts_with(url, 'https') THEN 10 ELSE 0 END AS r6a FROM pages")
+def heur_weak_pager(spark, sf_dir):
+    """Links in weakly marked containers count as pager links beside the first links of the page."""
+    pages = _table(spark, sf_dir, "pages").withColumn("html", F.concat("html", F.when(F.col("url").startswith("https"), F.lit('<div class="a page"><a href="/w">Onward</a></div>')).otherwise(F.lit('<div class="a"><a href="/w">Onward</a></div>'))))
+    return heuristics.score_pages(pages, WEAK).select("page_id", "r6a")
+
+
+@query("""SELECT page_id, CASE WHEN starts_with(url, 'https') THEN 10 ELSE 8 END AS r7, 15 AS r5 FROM pages""")
+def heur_forms(spark, sf_dir):
+    """Pages with a search form by its words, or by the names of its inputs, and a pager by its class."""
+    form = F.when(F.col("url").startswith("https"), F.lit("<form><b>Find</b> Search Jobs here</form>")).otherwise(F.lit('<form action="/a"><select id="Job-Category"></select></form>'))
+    pages = _table(spark, sf_dir, "pages").withColumn("html", F.concat("html", F.lit('<form>no</form><ul class="x Pagination-Container"><li>1</li></ul>'), form))
+    return heuristics.score_pages(pages, VOCABULARY).select("page_id", "r7", "r5")
+
+
 # Prompts and model calls
 
 
@@ -257,6 +275,28 @@ def extract_details(spark, sf_dir):
     return out.select("doc_id", F.col("details.jobtitle").alias("jobtitle"), "error_kind", F.col("details.total_token_count").alias("total_token_count"))
 
 
+@query(rf"""WITH b AS (SELECT page_id, len(list_filter(regexp_extract_all({_minify_body_sql()}, '<a href="([^"]*)">', 1), lambda h: regexp_matches(h, '^/[a-m]'))) AS jobs FROM pages WHERE html IS NOT NULL)
+SELECT page_id, jobs >= 2 AS is_job_listing, false AS first_hit, true AS second_hit FROM b""")
+def analyze_twice(spark, sf_dir):
+    """Every page through the listing stage twice: the second time each is answered from the cache by its content."""
+    pages = _table(spark, sf_dir, "pages").where("html is not null").select("page_id", "url", "html")
+    run = Pipeline(spark, PipelineConfig(listing_cache_dir=work_path(spark, "cache"), listing_chunk_sleep_ms=0), listing_model=FixtureListingModel)
+    first = run.analyze(pages, "page_id").select("page_id", "is_job_listing", F.col("cache_hit").alias("first_hit"))
+    second = run.analyze(pages, "page_id").select("page_id", "is_job_listing", F.col("cache_hit").alias("second_hit"))
+    return first.join(second, ["page_id", "is_job_listing"])
+
+
+@query("SELECT * FROM (VALUES ('details', true), ('listing', true), ('unknown', false)) AS t(name, known)")
+def validator_registry(spark, sf_dir):
+    def known(name: str) -> bool:
+        try:
+            return validate.validator_for(name) is not None
+        except KeyError:
+            return False
+
+    return spark.createDataFrame([(n, known(n)) for n in ("details", "listing", "unknown")], "name string, known boolean")
+
+
 # Tasks
 
 
