@@ -1,7 +1,8 @@
 """N-gram Jaccard join by prefix trees.
 
 A document's set is its distinct word n-grams (64-bit hashes). All sets follow one global order, rare grams first,
-by a fixed-size count sketch over all documents (any order gives the same links; a good one gives few candidates).
+by a count sketch over all documents (any order gives the same links; a good one gives few candidates). The sketch has
+2 ** 20 counters up to two million documents and grows with them to 2 ** 24, a byte each where it is broadcast.
 
 1. Equal sets collapse into classes, so copies cost nothing further.
 2. Prefixes: two sets of overlap o or more share k grams at least among the first n - o + k of each. A class keeps
@@ -20,8 +21,11 @@ cells that share enough grams (a cell with itself too) is one block, and its tri
 overlap and remaining lengths. A pair of classes is in one block alone, so links are counted where they are found and
 no table of pairs is written; the work still grows with the number of links, the square of a group of near copies.
 
-No group is ever collected: hot grams are pre-aggregated to their leader, blocks and cells are bounded. Class ids
-are 64-bit hashes of the sets: two different sets have one id with a chance of 2 ** -64.
+No group is ever collected: hot grams are pre-aggregated to their leader, blocks and cells are bounded, and a leader that
+is in many blocks is copied to them by as many tasks as it takes. Texts are never shuffled: a Bloom filter of bounded size
+over the keys of the wanted classes picks rows where they are read, and their sets alone travel. Classes are told
+apart by 128-bit hashes of the sets; their ids are the lower halves, except where two classes have one in common,
+which then take the upper ones.
 
 Defined results: null or empty texts, or texts without words, have an empty set, size 0 and link with nothing;
 with fewer words than n the whole sequence is the one gram; repeated rows are copies; texts of any length are
@@ -31,10 +35,9 @@ component id it yields to any other key.
 
 from __future__ import annotations
 
-import itertools
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, small_side
+from .common import discard, map_arrow, materialize, small_side
 from .graph import connected_components
 
 U64 = np.uint64
@@ -56,10 +59,17 @@ _SEGMENT = 1 << 18
 class JoinParams:
     words: int = 5
     percent: int = 80
-    sketch_bits: int = 20
     block: int = 64
 
 
+#: Least and most bits of the count sketch's index; documents per doubling above the least.
+SKETCH_BITS, SKETCH_DOCS = (20, 24), 1_000_000
+#: Bits of the Bloom filter for each key, and the most it has (16 MB); beyond that it lets more rows through.
+BLOOM_BITS, BLOOM_MOST = 16, 27
+#: Copies of a set that one task makes.
+COPIES = 64
+
+
 def least(percent: int, n: int) -> int:
     """ceil(percent / 100 * n)"""
     return -(-percent * n // 100)
@@ -134,8 +144,17 @@ def gram_set(text: str | None, n: int) -> np.ndarray:
     return np.unique(grams)
 
 
-def set_id(grams: np.ndarray) -> int | None:
-    return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63) if len(grams) else None
+def set_ids(grams: np.ndarray) -> tuple[int, int] | tuple[None, None]:
+    """Both halves of the set's 128-bit hash."""
+    if not len(grams):
+        return None, None
+    high, low = divmod(xxhash.xxh3_128_intdigest(grams.tobytes()), 1 << 64)
+    return low - (1 << 63), high - (1 << 63)
+
+
+def class_id(grams: np.ndarray, twins: frozenset[int]) -> int | None:
+    low, high = set_ids(grams)
+    return high if low in twins else low
 
 
 def _sets(batches: Iterator[pa.RecordBatch], column: int, n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -145,10 +164,14 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int, n: int) -> Iterator[tu
             yield batch, [gram_set(x.as_py(), n) for x in batch.column(column)]
 
 
+def sketch_bits(documents: int) -> int:
+    return min(SKETCH_BITS[1], max(SKETCH_BITS[0], SKETCH_BITS[0] + (documents // SKETCH_DOCS).bit_length() - 1))
+
+
 def scan_sets(df: DataFrame, params: JoinParams, key: str) -> DataFrame:
-    """Pass 1: a row (key, n, sid) for each document, and a row (part, sketch) for each partition."""
-    n, bits = params.words, params.sketch_bits
-    names = ["key", "n", "sid", "part", "sketch"]
+    """Pass 1: a row (key, n, sid, check) for each document, and a row (part, sketch) for each partition."""
+    n, bits = params.words, sketch_bits(df.count())
+    names = ["key", "n", "sid", "check", "part", "sketch"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, kind, some = np.zeros(1 << bits, np.uint32), None, False
@@ -156,76 +179,87 @@ def scan_sets(df: DataFrame, params: JoinParams, key: str) -> DataFrame:
             kind = batch.column(0).type
             np.add.at(sketch, (np.concatenate(sets) >> U64(64 - bits)).astype(np.int64), 1)
             some = some or any(map(len, sets))
+            sids, checks = zip(*map(set_ids, sets), strict=True)
             none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([set_id(s) for s in sets], pa.int64()), *none], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array(sids, pa.int64()), pa.array(checks, pa.int64()), *none], names)
         if some:
             blob = zlib.compress(sketch.tobytes(), 1)
             part = pa.array([TaskContext.get().partitionId()], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), part, pa.array([blob], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), part, pa.array([blob], pa.binary())], names)
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, "text").mapInArrow(run, f"key {kind}, n int, sid long, part int, sketch binary")
-
+    return map_arrow(df.select(key, "text"), run, f"key {kind}, n int, sid long, check long, part int, sketch binary")
 
-def _summed(blobs, bits: int) -> np.ndarray:
-    total = np.zeros(1 << bits, np.uint64)
-    for blob in blobs:
-        total += np.frombuffer(zlib.decompress(blob), np.uint32)
-    return np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
 
+def merged(rows: DataFrame, unite) -> np.ndarray | None:
+    """One array of the compressed ones in ``rows`` (part, sketch), all of one fixed size; None where there are none.
 
-def sketch_of(scanned: DataFrame, params: JoinParams) -> np.ndarray:
-    """The count sketch over all documents: 2 ** sketch_bits counters, whatever the corpus size.
-
-    Sketches of partitions are summed in about the square root of their number of groups by tasks, then streamed
-    through the driver, one group's at a time.
+    About the square root of their number is united in each task; those results are streamed through the driver.
     """
-    bits = params.sketch_bits
-    rows = scanned.where("sketch is not null").select("part", "sketch")
     groups = max(1, int(rows.count() ** 0.5))
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = (x.as_py() for batch in batches for x in batch.column(1))
-        first = next(blobs, None)
-        if first is not None:
-            total = _summed(_chain(first, blobs), bits)
+    def united(blobs):
+        total = None
+        for blob in blobs:
+            total = unite(total, zlib.decompress(blob))
+        return total
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = united(x.as_py() for batch in batches for x in batch.column(1))
+        if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())], ["sketch"])
 
-    merged = rows.repartition(groups, "part").mapInArrow(add, "sketch binary")
-    return _summed((r.sketch for r in merged.toLocalIterator()), bits)
+    return united(r.sketch for r in map_arrow(rows.repartition(groups), run, "sketch binary").toLocalIterator())
+
+
+def _sum(total: np.ndarray | None, data: bytes) -> np.ndarray:
+    counts = np.frombuffer(data, np.uint32)
+    return counts.copy() if total is None else np.minimum(total.astype(np.uint64) + counts, 0xFFFFFFFF).astype(np.uint32)
+
 
+def _or(total: np.ndarray | None, data: bytes) -> np.ndarray:
+    bits = np.frombuffer(data, np.uint8)
+    return bits.copy() if total is None else total | bits
 
-def _chain(first, rest):
-    yield first
-    yield from rest
 
+def order_of(scanned: DataFrame) -> np.ndarray:
+    """The global order as a byte for each counter of the sketch: eight steps for each doubling of the count."""
+    counts = merged(scanned.where("sketch is not null").select("part", "sketch"), _sum)
+    if counts is None:
+        return np.zeros(1 << SKETCH_BITS[0], np.uint8)
+    return np.minimum(8 * np.log2(counts + 1.0), 255).astype(np.uint8)
 
-def in_order(grams: np.ndarray, counts: np.ndarray, bits: int) -> np.ndarray:
+
+def _ranks(grams: np.ndarray, order: np.ndarray) -> np.ndarray:
+    return order[(grams >> U64(65 - len(order).bit_length())).astype(np.int64)]
+
+
+def in_order(grams: np.ndarray, order: np.ndarray) -> np.ndarray:
     """The grams in global order: by sketched count, then hash. ``grams`` is sorted by hash."""
-    return grams[np.argsort(counts[(grams >> U64(64 - bits)).astype(np.int64)], kind="stable")]
+    return grams[np.argsort(_ranks(grams, order), kind="stable")]
 
 
-def prefixes(df: DataFrame, params: JoinParams, counts) -> DataFrame:
+def prefixes(df: DataFrame, params: JoinParams, counts, twins: frozenset[int]) -> DataFrame:
     """Pass 2: (sid, n, prefix) of each class. Copies combine before and after the shuffle."""
-    n, bits, percent = params.words, params.sketch_bits, params.percent
+    n, percent = params.words, params.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = counts.value, set()
         for _, sets in _sets(batches, 0, n):
             rows = []
             for s in sets:
-                sid = set_id(s)
+                sid = class_id(s, twins)
                 if sid is None or sid in seen:
                     continue
                 if len(seen) < 500_000:
                     seen.add(sid)
                 length = len(s) - least(percent, len(s)) + needed(len(s))
-                rows.append((sid, len(s), in_order(s, order, bits)[:length].view(np.int64)))
+                rows.append((sid, len(s), in_order(s, order)[:length].view(np.int64)))
             if rows:
                 a, b, c = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.list_(pa.int64()))], ["sid", "n", "prefix"])
 
-    return df.select("text").mapInArrow(run, "sid long, n int, prefix array<long>").dropDuplicates(["sid"])
+    return map_arrow(df.select("text"), run, "sid long, n int, prefix array<long>").dropDuplicates(["sid"])
 
 
 def sized(a: str, b: str, percent: int) -> Column:
@@ -288,18 +322,18 @@ class Trie:
             self.children.append(Trie(sets, group, end))
 
 
-def ranked(grams: list[np.ndarray], order: np.ndarray, bits: int) -> tuple[list[np.ndarray], int]:
+def ranked(grams: list[np.ndarray], order: np.ndarray) -> tuple[list[np.ndarray], int]:
     """The sets as sorted places in the block's own global order, and the number of places."""
     universe, places = np.unique(np.concatenate(grams), return_inverse=True)
     ranks = np.empty(len(universe), np.int64)
-    ranks[np.argsort(order[(universe >> U64(64 - bits)).astype(np.int64)], kind="stable")] = np.arange(len(universe))
+    ranks[np.argsort(_ranks(universe, order), kind="stable")] = np.arange(len(universe))
     cuts = np.cumsum([len(g) for g in grams])[:-1]
     return [np.sort(x) for x in np.split(ranks[places], cuts)], len(universe)
 
 
-def trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: int) -> list[tuple[int, int]]:
+def trie_links(grams: list[np.ndarray], order: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs of similar sets that join the block's components; pairs already joined by others are left out."""
-    sets, width = ranked(grams, order, bits)
+    sets, width = ranked(grams, order)
     root = Trie(sets, sorted(range(len(sets)), key=lambda i: sets[i].tolist()), 0)
     component, links = np.arange(len(sets)), []
     has = np.zeros(width, bool)
@@ -329,10 +363,10 @@ def trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: i
     return links
 
 
-def all_trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percent: int, left: int = 0) -> Iterator[tuple[int, int]]:
+def all_trie_links(grams: list[np.ndarray], order: np.ndarray, percent: int, left: int = 0) -> Iterator[tuple[int, int]]:
     """All pairs (i, j) of similar sets, each once. The first ``left`` sets are one side and the rest the other, and
     only pairs of both sides are looked for; without sides (0) all pairs are."""
-    sets, width = ranked(grams, order, bits)
+    sets, width = ranked(grams, order)
     root = Trie(sets, sorted(range(left, len(sets)), key=lambda i: sets[i].tolist()), 0)
     has = np.zeros(width, bool)
     for i in range(left or len(sets)):
@@ -359,74 +393,122 @@ def all_trie_links(grams: list[np.ndarray], order: np.ndarray, bits: int, percen
         has[query] = False
 
 
-def join_blocks(df: DataFrame, key: str, classes: DataFrame, blocks: DataFrame, counts, params: JoinParams) -> DataFrame:
-    """(a, b): links found in each block of (block, sid).
+def _spots(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The Bloom filter's places of 64-bit hashes."""
+    other = _mix(hashes) | U64(1)
+    for i in range(4):
+        yield (_mix(hashes + U64(i) * other) >> U64(64 - bits)).astype(np.int64)
+
 
-    The texts of the wanted classes (one document each) are read again and their sets go straight to their blocks, the
-    only shuffle of sets. Blocks are bounded; a task streams through many.
+def bloom_of(wanted: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter, in packed bits, of the column's hashes."""
+    bits = min(BLOOM_MOST, max(16, (BLOOM_BITS * wanted.count()).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << bits, bool)
+        for batch in batches:
+            for spot in _spots(batch.column(0).to_numpy().view(U64), bits):
+                held[spot] = True
+        part = pa.array([TaskContext.get().partitionId()], pa.int32())
+        yield pa.RecordBatch.from_arrays([part, pa.array([zlib.compress(np.packbits(held).tobytes(), 1)], pa.binary())], ["part", "sketch"])
+
+    blobs = materialize(map_arrow(wanted.select(F.xxhash64(column).alias("h")), run, "part int, sketch binary"), "bloom")
+    found = merged(blobs, _or)
+    discard(blobs)
+    return np.zeros(1 << bits - 3, np.uint8) if found is None else found
+
+
+def in_blocks(df: DataFrame, key: str, classes: DataFrame, blocks: DataFrame, params: JoinParams, twins: frozenset[int]) -> DataFrame:
+    """(block, side, sid, copies, grams) for each row of ``blocks`` (block, side, sid), grouped and sorted in partitions.
+
+    The texts are read where they lie; a Bloom filter leaves the wanted classes' own documents, whose sets are
+    copied to their blocks, at most COPIES of one in a row.
     """
-    n, bits, percent = params.words, params.sketch_bits, params.percent
-    wanted = blocks.groupBy("sid").agg(F.collect_set("block").alias("_blocks")).join(classes, "sid")
-    wanted = materialize(wanted.select(F.col("rep").alias("_key"), F.col("sid").alias("_sid"), "_blocks"), "wanted")
+    n, spark = params.words, df.sparkSession
+    wanted = blocks.groupBy("sid").agg(F.ceil(F.count("*") / COPIES).cast("int").alias("salts")).join(classes, "sid")
+    wanted = materialize(wanted.select("sid", "rep", "copies", "salts"), "wanted")
+    salted = small_side(wanted.select("sid", "copies", "salts"), 500_000)
+    bloom = spark.sparkContext.broadcast(bloom_of(wanted, "rep"))  # 16 MB at most
+    spots = blocks.join(salted, "sid").select("block", "side", "sid", F.pmod(F.xxhash64("block"), F.col("salts")).cast("int").alias("salt"))
+    spots = materialize(spots, "places")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _sets(batches, 0, n):
-            rows = [(block, sid, s.tobytes()) for s, sid, into in zip(sets, batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True) if set_id(s) == sid for block in into]
-            for at in range(0, len(rows), 1024):
-                a, b, c = zip(*rows[at : at + 1024], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.binary())], ["block", "sid", "grams"])
+        held, seen = bloom.value, set()
+        bits = (len(held) * 8).bit_length() - 1
+        for whole in batches:
+            hashes, hit = whole.column(0).to_numpy().view(U64), True
+            for spot in _spots(hashes, bits):
+                hit = hit & (held[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).astype(bool)
+            for _, sets in _sets([whole.filter(pa.array(hit))], 1, n):
+                rows = {}
+                for s in sets:
+                    sid = class_id(s, twins)
+                    if sid is not None and sid not in seen:
+                        rows[sid] = s.tobytes()
+                        if len(seen) < 500_000:
+                            seen.add(sid)
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.binary())], ["sid", "grams"])
+
+    sets = map_arrow(df.select(F.xxhash64(key).alias("h"), "text"), read, "sid long, grams binary").join(salted, "sid")
+    sets = sets.select("sid", "copies", "grams", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    full = sets.join(small_side(spots, 500_000), ["sid", "salt"]).select("block", "side", "sid", "copies", "grams")
+    return full.repartition("block").sortWithinPartitions("block", "side", "sid")
+
+
+@dataclass
+class Block:
+    sids: list[int] = field(default_factory=list)
+    sides: list[int] = field(default_factory=list)
+    copies: list[int] = field(default_factory=list)
+    grams: list[np.ndarray] = field(default_factory=list)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """The blocks of ``in_blocks``'s rows, one at a time."""
+    now, block = None, Block()
+    for batch in batches:
+        for b, side, sid, copies, data in zip(*(batch.column(k).to_pylist() for k in range(4)), batch.column(4), strict=True):
+            if b != now:
+                if block.sids:
+                    yield block
+                now, block = b, Block()
+            if not block.sids or block.sids[-1] != sid:  # a class may come from several tasks
+                block.sids.append(sid)
+                block.sides.append(side)
+                block.copies.append(copies)
+                block.grams.append(np.frombuffer(data.as_py(), U64))
+    if block.sids:
+        yield block
+
+
+def join_blocks(sets: DataFrame, counts, params: JoinParams) -> DataFrame:
+    """(a, b): links that join components of each block of ``in_blocks``'s rows. Blocks are bounded; a task streams through many."""
+    percent = params.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = counts.value
-        block, sids, grams = None, [], []
+        for block in _blocks(batches):
+            pairs = trie_links(block.grams, order, percent) if len(block.sids) > 1 else []
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array([block.sids[x[k]] for x in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-        def links() -> pa.RecordBatch:
-            pairs = trie_links(grams, order, bits, percent) if len(sids) > 1 else []
-            return pa.RecordBatch.from_arrays([pa.array([sids[x[k]] for x in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+    return map_arrow(sets, run, "a long, b long")
 
-        for batch in batches:
-            for b, sid, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if b != block:
-                    if (out := links()).num_rows:
-                        yield out
-                    block, sids, grams = b, [], []
-                if not sids or sids[-1] != sid:  # rows of one key and text are one
-                    sids.append(sid)
-                    grams.append(np.frombuffer(data.as_py(), U64))
-        if sids and (out := links()).num_rows:
-            yield out
-
-    texts = df.select(key, "text").join(small_side(wanted, 500_000), F.col(key).eqNullSafe(F.col("_key"))).select("text", "_sid", "_blocks")
-    full = texts.mapInArrow(read, "block long, sid long, grams binary").repartition("block").sortWithinPartitions("block", "sid")
-    return full.mapInArrow(run, "a long, b long")
-
-
-def count_blocks(df: DataFrame, key: str, classes: DataFrame, blocks: DataFrame, counts, params: JoinParams) -> DataFrame:
-    """All links of each block of (block, side, sid), as rows (a, b, n): b null, class a has n linked documents in other
-    classes of the block; n null, a link that joins components of the block. Side 0 or 1: only pairs of both sides."""
-    n, bits, percent = params.words, params.sketch_bits, params.percent
-    wanted = blocks.groupBy("sid").agg(F.collect_set(F.struct("block", "side")).alias("_blocks")).join(classes, "sid")
-    wanted = materialize(wanted.select(F.col("rep").alias("_key"), F.col("sid").alias("_sid"), F.col("copies").alias("_copies"), "_blocks"), "wanted")
-    names = ["block", "side", "sid", "copies", "grams"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _sets(batches, 0, n):
-            cells = zip(sets, *(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)
-            rows = ((x["block"], x["side"], sid, copies, s.tobytes()) for s, sid, copies, into in cells if set_id(s) == sid for x in into)
-            while some := list(itertools.islice(rows, 1024)):
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*some, strict=True), kinds, strict=True)], names)
+def count_blocks(sets: DataFrame, counts, params: JoinParams) -> DataFrame:
+    """All links of each block of ``in_blocks``'s rows, as rows (a, b, n): b null, class a has n linked documents in other
+    classes of the block; n null, a link that joins components of the block. Side 0 or 1: only pairs of both sides."""
+    percent = params.percent
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = counts.value
-        block, sids, sides, copies, grams = None, [], [], [], []
-
-        def links() -> Iterator[pa.RecordBatch]:
-            left = sides.count(0)
+        for block in _blocks(batches):
+            sids, copies, left = block.sids, block.copies, block.sides.count(0)
             if len(sids) < 2 or left == len(sids):
-                return
+                continue
             total, component, rows = [0] * len(sids), np.arange(len(sids)), []
-            for i, j in all_trie_links(grams, order, bits, percent, left):
+            for i, j in all_trie_links(block.grams, order, percent, left):
                 total[i] += copies[j]
                 total[j] += copies[i]
                 if component[i] != component[j]:
@@ -436,35 +518,24 @@ def count_blocks(df: DataFrame, key: str, classes: DataFrame, blocks: DataFrame,
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], ["a", "b", "n"])
 
-        for batch in batches:
-            for b, side, sid, c, data in zip(*(batch.column(k).to_pylist() for k in range(4)), batch.column(4), strict=True):
-                if b != block:
-                    yield from links()
-                    block, sids, sides, copies, grams = b, [], [], [], []
-                if not sids or sids[-1] != sid:  # rows of one key and text are one
-                    sids.append(sid)
-                    sides.append(side)
-                    copies.append(c)
-                    grams.append(np.frombuffer(data.as_py(), U64))
-        yield from links()
-
-    texts = df.select(key, "text").join(small_side(wanted, 500_000), F.col(key).eqNullSafe(F.col("_key"))).select("text", "_sid", "_copies", "_blocks")
-    full = texts.mapInArrow(read, "block long, side int, sid long, copies long, grams binary").repartition("block").sortWithinPartitions("block", "side", "sid")
-    return full.mapInArrow(run, "a long, b long, n long")
+    return map_arrow(sets, run, "a long, b long, n long")
 
 
 def in_cells(following: DataFrame, params: JoinParams) -> DataFrame:
     """(sid, leader, cell): followers of one leader in groups of about ``params.block``."""
-    parts = following.groupBy("leader").agg(F.ceil(F.count("*") / params.block).alias("parts"))
-    cells = following.join(parts, "leader").withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")))
-    return materialize(cells.select("sid", "leader", F.xxhash64("leader", "part").alias("cell")), "cells")
+    parts = following.groupBy("leader").agg(F.ceil(F.count("*") / params.block).alias("parts")).where("parts > 1")
+    parts = materialize(parts, "parts")
+    cells = following.join(small_side(parts), "leader", "left").withColumn("part", F.pmod(F.xxhash64("sid"), F.coalesce("parts", F.lit(1))))
+    cells = materialize(cells.select("sid", "leader", F.xxhash64("leader", "part").alias("cell")), "cells")
+    discard(parts)
+    return cells
 
 
-def count_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: JoinParams, key: str) -> DataFrame:
+def count_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, twins: frozenset[int], params: JoinParams, key: str) -> DataFrame:
     """Rows (a, b, n) of ``count_blocks`` over every pair of cells that may hold a link."""
     spark, percent = df.sparkSession, params.percent
-    counts = spark.sparkContext.broadcast(sketch_of(scanned, params))  # 2 ** sketch_bits numbers
-    prefix = materialize(prefixes(df, params, counts), "prefixes")
+    counts = spark.sparkContext.broadcast(order_of(scanned))  # 16 MB at most
+    prefix = materialize(prefixes(df, params, counts, twins), "prefixes")
     shared, heads = shared_grams(prefix, percent)
     discard(prefix)
     cells = in_cells(materialize(followers(shared, heads, percent), "followers"), params)
@@ -487,22 +558,23 @@ def count_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: J
     first = pairs.select("block", "cell", F.when(F.col("cell") == F.col("o_cell"), 1).otherwise(0).alias("side"))
     second = pairs.where("cell <> o_cell").select("block", F.col("o_cell").alias("cell"), F.lit(1).alias("side"))
     members = first.unionByName(second).join(homes, "cell").select("block", "side", "sid")
-    found = materialize(count_blocks(df, key, classes, members, counts, params), "links")
+    found = materialize(count_blocks(in_blocks(df, key, classes, members, params, twins), counts, params), "links")
     discard(shared, heads, cells, homes, spots, pairs)
     return found
 
 
-def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: JoinParams, key: str) -> DataFrame:
+def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, twins: frozenset[int], params: JoinParams, key: str) -> DataFrame:
     """(a, b): enough links between classes to join every component, each link exact."""
     spark, percent = df.sparkSession, params.percent
-    counts = spark.sparkContext.broadcast(sketch_of(scanned, params))  # 2 ** sketch_bits numbers
-    prefix = materialize(prefixes(df, params, counts), "prefixes")
+    counts = spark.sparkContext.broadcast(order_of(scanned))  # 16 MB at most
+    prefix = materialize(prefixes(df, params, counts, twins), "prefixes")
     shared, heads = shared_grams(prefix, percent)
     discard(prefix)
     following = materialize(followers(shared, heads, percent), "followers")
     cells = in_cells(following, params)
     stars = cells.select(F.col("cell").alias("block"), "sid").unionByName(cells.select(F.col("cell").alias("block"), F.col("leader").alias("sid")).distinct())
-    first = materialize(join_blocks(df, key, classes, stars, counts, params), "links")
+    sided = lambda blocks: blocks.select("block", F.lit(0).alias("side"), "sid")
+    first = materialize(join_blocks(in_blocks(df, key, classes, sided(stars), params, twins), counts, params), "links")
 
     joined = materialize(connected_components(first, "a", "b"), "components").select(F.col("node").alias("sid"), F.col("component").alias("label"))
     homes = shared.groupBy("sid").agg(F.first("n").alias("n")).join(joined, "sid", "left").join(cells.select("sid", "cell"), "sid", "left")
@@ -526,7 +598,7 @@ def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, params: Jo
     )
     pairs = materialize(pairs.select("cell", "o_cell", F.xxhash64("cell", "o_cell").alias("block")), "cell-pairs")
     members = pairs.select("block", F.explode(F.array_distinct(F.array("cell", "o_cell"))).alias("cell")).join(homes, "cell").select("block", "sid").distinct()
-    second = materialize(join_blocks(df, key, classes, members, counts, params), "links")
+    second = materialize(join_blocks(in_blocks(df, key, classes, sided(members), params, twins), counts, params), "links")
     discard(shared, heads, following, cells, homes, pairs)
     return first.unionByName(second)
 
@@ -540,12 +612,23 @@ def _components(classes: DataFrame, links: DataFrame) -> DataFrame:
     return classes.join(linked, "sid", "left").select("sid", F.coalesce("id", "rep").alias("component_id"))
 
 
+def _classes(scanned: DataFrame) -> tuple[DataFrame, DataFrame, frozenset[int]]:
+    """(key, n, sid) of each row, (sid, rep, copies) of each class, and the half ids that two classes have in common."""
+    rows = scanned.where("sketch is null").select("key", F.col("n").cast("long").alias("n"), "sid", "check")
+    grouped = lambda r: r.where("sid is not null").groupBy("sid").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.min("check").alias("lo"), F.max("check").alias("hi"))
+    classes = materialize(grouped(rows), "classes")
+    twins = frozenset(r.sid for r in classes.where("lo <> hi").select("sid").collect())  # none below some billions of classes
+    if twins:
+        rows = rows.withColumn("sid", F.when(F.col("sid").isin(*twins), F.col("check")).otherwise(F.col("sid")))
+        classes = materialize(grouped(rows), "classes")
+    return rows.drop("check"), classes.drop("lo", "hi"), twins
+
+
 def similarity_components(df: DataFrame, params: JoinParams = JoinParams(), key: str = "doc_id") -> DataFrame:
     """(key, n_shingles, component_id) of each row of (key, text): the least key reachable by links."""
     scanned = materialize(scan_sets(df, params, key), "sets-scan")
-    rows = scanned.where("sketch is null").select("key", F.col("n").cast("long").alias("n"), "sid")
-    classes = materialize(rows.where("sid is not null").groupBy("sid").agg(F.min("key").alias("rep")), "classes")
-    homes = _components(classes, find_links(df, scanned, classes, params, key))
+    rows, classes, twins = _classes(scanned)
+    homes = _components(classes, find_links(df, scanned, classes, twins, params, key))
     return rows.join(homes, "sid", "left").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "key").alias("component_id"))
 
 
@@ -553,9 +636,8 @@ def similarity_links(df: DataFrame, params: JoinParams = JoinParams(), key: str
     """(key, n_shingles, component_id, n_links) of each row: as ``similarity_components``, with the exact number of other
     rows that the row is similar to (rows with an equal set are, those with an empty one are not)."""
     scanned = materialize(scan_sets(df, params, key), "sets-scan")
-    rows = scanned.where("sketch is null").select("key", F.col("n").cast("long").alias("n"), "sid")
-    classes = materialize(rows.where("sid is not null").groupBy("sid").agg(F.min("key").alias("rep"), F.count("*").alias("copies")), "classes")
-    found = count_links(df, scanned, classes, params, key)
+    rows, classes, twins = _classes(scanned)
+    found = count_links(df, scanned, classes, twins, params, key)
     homes = _components(classes, found.where("b is not null"))
     others = found.where("b is null").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("others"))
     totals = classes.join(others, "sid", "left").select("sid", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))

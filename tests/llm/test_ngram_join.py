@@ -85,7 +85,7 @@ def test_trie_links_join_all_that_is_similar():
         base = rng.integers(0, 1 << 63, 40).astype(np.uint64)
         sets = [np.unique(np.concatenate([rng.choice(base, rng.integers(20, 40), replace=False), rng.integers(0, 1 << 63, rng.integers(0, 6)).astype(np.uint64)])) for _ in range(12)]
         component = list(range(12))
-        for i, j in ngram_join.trie_links(sets, counts, 8, 70):
+        for i, j in ngram_join.trie_links(sets, counts, 70):
             both = len(np.intersect1d(sets[i], sets[j]))
             assert 100 * both >= 70 * (len(sets[i]) + len(sets[j]) - both)
             component = [component[i] if c == component[j] else c for c in component]
@@ -101,3 +101,44 @@ def test_empty(spark):
     assert ngram_join.similarity_components(df).count() == 0
     nothing = spark.createDataFrame([(1, None), (2, ""), (2, "")], "doc_id long, text string")
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.similarity_components(nothing).collect()) == [(1, 0, 1), (2, 0, 2), (2, 0, 2)]
+
+
+def test_halves_of_ids_in_common(spark, monkeypatch):
+    """Classes whose ids' lower halves are all one of two numbers are still told apart, by the upper halves."""
+    whole = ngram_join.xxhash.xxh3_128_intdigest
+
+    class Poor:
+        @staticmethod
+        def xxh3_128_intdigest(data):
+            x = whole(data)
+            return x >> 64 << 64 | x & 1
+
+    twins = frozenset({-(1 << 63), 1 - (1 << 63)})
+    sets = [np.array([i], np.uint64) for i in range(50)]
+    monkeypatch.setattr(ngram_join, "xxhash", Poor)
+    assert {ngram_join.set_ids(s)[0] for s in sets} == twins
+    assert len({ngram_join.class_id(s, twins) for s in sets}) == 50
+    scanned = spark.createDataFrame([(i, 1, *ngram_join.set_ids(s), None, None) for i, s in enumerate(sets + sets)], "key long, n int, sid long, check long, part int, sketch binary")
+    rows, classes, found = ngram_join._classes(scanned)
+    assert found == twins and classes.count() == 50 and {r.copies for r in classes.collect()} == {2}
+    assert {r.key: r.sid for r in rows.collect()} == {i: ngram_join.class_id(s, twins) for i, s in enumerate(sets + sets)}
+
+
+def test_null_and_repeated_keys(spark):
+    text = "one two three four five six seven"
+    rows = [(None, text), (4, text.upper()), (4, "other words"), (4, text), (4, text), (None, None), (9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in ngram_join.similarity_links(df).collect()), key=repr)
+    assert got == sorted([(None, 3, 4, 3), *[(4, 3, 4, 3)] * 3, (4, 1, 4, 0), (None, 0, None, 0), (9, 0, 9, 0)], key=repr)
+
+
+def test_bloom_holds_all_and_little_else(spark):
+    held = spark.range(2000).withColumnRenamed("id", "k")
+    bloom = ngram_join.bloom_of(held, "k")
+    from pyspark.sql import functions as F
+
+    hashes = np.array([r.h for r in spark.range(20_000).select(F.xxhash64("id").alias("h")).collect()]).view(np.uint64)
+    hit = True
+    for spot in ngram_join._spots(hashes, len(bloom).bit_length() + 2):
+        hit = hit & (bloom[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).astype(bool)
+    assert hit[:2000].all() and hit[2000:].mean() < 0.01
