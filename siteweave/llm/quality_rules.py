@@ -30,6 +30,8 @@ from .common import let, materialize, small_side
 WORD = r"[^\x20\x09-\x0D]"
 GAP = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
+#: Tasks that share the merging of a group's partial sketches.
+MERGERS = 512
 
 
 @dataclass(frozen=True)
@@ -100,14 +102,20 @@ def score(df: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
 
 
 def sketches(scored: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """One row per (lang, source) with a count and a KLL sketch of each rule's shares; partial sketches merge before the shuffle."""
+    """One row per (lang, source) with a count and a KLL sketch of each rule's shares.
+
+    Every task has a partial sketch of every group. They are merged in two steps, those of a group in MERGERS parts first, so
+    that a million tasks give no merging task more than some thousand sketches of a group.
+    """
     shares = {}
     for name, rule in RULES.items():
         shares[f"{name}_hi"] = (F.col(rule.count) + 1) / (F.col(rule.places) + 1)
         if rule.both:
             shares[f"{name}_lo"] = F.col(rule.count) / F.col(rule.places)
     sketch = [F.kll_sketch_agg_double(share, F.lit(params.sketch_k)).alias(fence) for fence, share in shares.items()]
-    return scored.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"), *sketch)
+    part = F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("part")
+    shared = scored.where(~F.col("base_failed")).groupBy("lang", "source", part).agg(F.count("*").alias("n"), *sketch)
+    return shared.groupBy("lang", "source").agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(fence).alias(fence) for fence in shares))
 
 
 def _fences(grouped: DataFrame, params: QualityParams) -> DataFrame:
