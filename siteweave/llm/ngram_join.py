@@ -12,9 +12,11 @@ by a count sketch over all documents (any order gives the same links; a good one
    number of its followers form a block. In a block the ordered sets are stored in a trie; every set walks it,
    sharing the partial overlaps of common paths, and leaves a subtree when the overlap so far and the remaining
    lengths cannot reach the threshold, or when all sets below already are in its component. Links are exact.
-4. Grams whose classes are not all in one component after that are resolved by the same trie walk over pairs of
-   cells (bounded groups of classes with one leader) that share enough grams, each pair of cells once.
-5. Components are those of all links.
+4. Followers of one leader that fill several blocks are joined by what they differ in from the leader: links between its
+   component and others share some of that, and a prefix filter over the differences finds them (see ``near_links``).
+5. Grams whose classes are not all in one component are, for all other classes, resolved by the same trie walk over pairs
+   of cells (bounded groups of classes with one leader) that share enough grams, each pair of cells once.
+6. Components are those of all links.
 
 ``similarity_components`` stops at the links that join components. ``similarity_links`` finds every link: each pair of
 cells that share enough grams (a cell with itself too) is one block, and its trie walk leaves a subtree only by sizes,
@@ -289,11 +291,26 @@ def shared_grams(prefix: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]
     return shared, heads
 
 
-def followers(shared: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
-    """(sid, leader): for each class the leader of most of its shared grams, among those of a fitting size."""
+def leader_votes(shared: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """(sid, leader, n, c): how many of a class's shared grams each leader of a fitting size has."""
     votes = shared.join(heads, "gram").where(F.col("sid") != F.col("leader")).where(sized("n", "leader_n", percent))
-    counted = votes.groupBy("sid", "leader").agg(F.count("*").alias("c"))
-    return counted.groupBy("sid").agg(F.max_by("leader", F.least("c", F.lit(500_000)) * (1 << 44) + F.shiftrightunsigned("leader", 20)).alias("leader"))
+    return votes.groupBy("sid", "leader").agg(F.first("n").alias("n"), F.count("*").alias("c"))
+
+
+def followers(votes: DataFrame) -> DataFrame:
+    """(sid, leader): for each class the leader of most of its shared grams."""
+    return votes.groupBy("sid").agg(F.max_by("leader", F.least("c", F.lit(500_000)) * (1 << 44) + F.shiftrightunsigned("leader", 20)).alias("leader"))
+
+
+def gathered(votes: DataFrame, following: DataFrame, params: JoinParams) -> DataFrame:
+    """``following``, where a class goes to the leader with most followers, more than one block, that it shares enough grams with,
+    so that those of a large group that have changes in common are not dealt to many leaders."""
+    popular = materialize(following.groupBy("leader").agg(F.count("*").alias("size")).where(F.col("size") > params.block), "popular")
+    able = votes.where(F.col("c") >= _needed(F.col("n"))).join(small_side(popular), "leader")
+    moved = able.groupBy("sid").agg(F.max_by("leader", F.least("size", F.lit(500_000)) * (1 << 44) + F.shiftrightunsigned("leader", 20)).alias("other"))
+    out = materialize(following.join(moved, "sid", "left").select("sid", F.coalesce("other", "leader").alias("leader")), "gathered")
+    discard(popular)
+    return out
 
 
 class Trie:
@@ -496,6 +513,27 @@ def join_blocks(sets: DataFrame, counts, params: JoinParams) -> DataFrame:
     return map_arrow(sets, run, "a long, b long")
 
 
+def star_blocks(sets: DataFrame, counts, params: JoinParams) -> DataFrame:
+    """The links (a, b) of ``join_blocks`` for blocks of a leader (side 0) and its followers, and a row (a, b, n, base, diff) for each
+    follower a that differs from its leader b in no more grams than it has: both sizes, and the grams that one of them has alone."""
+    percent = params.percent
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = counts.value
+        for block in _blocks(batches):
+            sids, first = block.sids, block.grams[0]
+            rows = [(sids[i], sids[j], None, None, None) for i, j in trie_links(block.grams, order, percent)]
+            for sid, grams in zip(sids[1:], block.grams[1:], strict=True):
+                diff = np.setxor1d(first, grams, assume_unique=True)
+                if len(diff) <= len(grams):
+                    rows.append((sid, sids[0], len(grams), len(first), diff.view(np.int64)))
+            if rows:
+                kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["a", "b", "n", "base", "diff"])
+
+    return map_arrow(sets, run, "a long, b long, n int, base int, diff array<long>")
+
+
 def count_blocks(sets: DataFrame, counts, params: JoinParams) -> DataFrame:
     """All links of each block of ``in_blocks``'s rows, as rows (a, b, n): b null, class a has n linked documents in other
     classes of the block; n null, a link that joins components of the block. Side 0 or 1: only pairs of both sides."""
@@ -538,7 +576,7 @@ def count_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, twins: fr
     prefix = materialize(prefixes(df, params, counts, twins), "prefixes")
     shared, heads = shared_grams(prefix, percent)
     discard(prefix)
-    cells = in_cells(materialize(followers(shared, heads, percent), "followers"), params)
+    cells = in_cells(materialize(followers(leader_votes(shared, heads, percent)), "followers"), params)
     homes = shared.groupBy("sid").agg(F.first("n").alias("n")).join(cells.select("sid", "cell"), "sid", "left")
     homes = materialize(homes.select("sid", "n", F.coalesce("cell", F.xxhash64("sid")).alias("cell")), "homes")
     spots = shared.select("gram", "sid").join(homes, "sid").groupBy("gram", "cell").agg(F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.count("*").alias("c"))
@@ -563,6 +601,47 @@ def count_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, twins: fr
     return found
 
 
+def near_links(near: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between followers of one leader that are in different components, from ``near`` (sid, leader, n, base, diff,
+    label, open), where ``open`` says that the component is not the leader's and ``base`` is the leader's size.
+
+    Two sets that differ from their leader in D and E differ from each other in |D| + |E| - 2 |D & E| grams, at most
+    H = (100 - percent) / (100 + percent) * (both sizes) of them if they link. One of the two is open, so it differs from the leader in more than
+    H, so D and E share more than half of the other one's: a prefix of about half of E, rarest first, holds a shared one. It is compared with
+    the longer prefix of an open set, which has to hold one for any partner; two open sets are compared by halves. Grams that one
+    difference alone has come first and are shared with nothing, so copies with changes of their own make no pairs here.
+    """
+    bound = lambda a, b: F.floor((100 - percent) * (a + b) / (100 + percent))
+    grow = F.ceil((100 - percent) * F.greatest(F.col("n") - F.col("base"), F.lit(0)) / (100 + percent))
+    d = F.size("diff")
+    parts = near.select("sid", "leader", F.explode("diff").alias("gram"))
+    common = parts.groupBy("leader", "gram").agg(F.count("*").alias("c")).where("c > 1")
+    kept = parts.join(common, ["leader", "gram"]).groupBy("sid").agg(F.array_sort(F.collect_list(F.struct("c", "gram"))).alias("common"))
+    # the least overlaps asked for: with an open partner, and (of an open set) with any
+    asked = near.select("sid", "leader", "label", "open", "n", d.alias("d"), F.ceil((d + 1 - grow) / 2).alias("half"), F.greatest(F.ceil((d - bound(F.col("n"), F.col("base"))) / 2), F.lit(1)).alias("any"))
+    asked = asked.join(kept, "sid").withColumn("m", F.size("common"))
+    # of the prefix of d - asked + 1 grams, d - m are in no other difference
+    asked = asked.withColumn("short", F.col("m") - F.greatest("half", F.lit(1)) + 1).withColumn("long", F.when(F.col("open"), F.col("m") - F.col("any") + 1).otherwise(F.col("short")))
+    spots = asked.where("long > 0").select("sid", "leader", "label", "open", "n", "d", "m", "short", F.posexplode(F.expr("slice(common, 1, int(least(long, m)))")).alias("at", "x"))
+    spots = materialize(spots.select("sid", "leader", "label", "open", "n", "d", "m", F.col("at") < F.col("short"), F.col("x.gram").alias("gram")).toDF("sid", "leader", "label", "open", "n", "d", "m", "short", "gram"), "near-spots")
+    other = spots.where("short").select("leader", "gram", *(F.col(c).alias(f"o_{c}") for c in ("sid", "label", "open", "n", "d", "m")))
+    pairs = (
+        spots.where("open")
+        .join(other, ["leader", "gram"])
+        .where("label <> o_label and (not o_open or (short and sid < o_sid))")
+        .where(2 * F.least("m", "o_m") >= F.col("d") + F.col("o_d") - bound(F.col("n"), F.col("o_n")))
+        .select(F.col("sid").alias("a"), F.col("o_sid").alias("b"))
+        .distinct()
+    )
+    pairs = materialize(pairs, "near-pairs")
+    sides = [near.select(F.col("sid").alias(c), F.col("n").alias(f"n_{c}"), F.col("diff").alias(f"diff_{c}")) for c in "ab"]
+    both = F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
+    links = pairs.join(sides[0], "a").join(sides[1], "b").where((100 + percent) * both <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+    links = materialize(links, "near-links")
+    discard(spots, pairs)
+    return links
+
+
 def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, twins: frozenset[int], params: JoinParams, key: str) -> DataFrame:
     """(a, b): enough links between classes to join every component, each link exact."""
     spark, percent = df.sparkSession, params.percent
@@ -570,24 +649,41 @@ def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, twins: fro
     prefix = materialize(prefixes(df, params, counts, twins), "prefixes")
     shared, heads = shared_grams(prefix, percent)
     discard(prefix)
-    following = materialize(followers(shared, heads, percent), "followers")
+    votes = materialize(leader_votes(shared, heads, percent), "votes")
+    best = materialize(followers(votes), "followers")
+    following = gathered(votes, best, params)
     cells = in_cells(following, params)
-    stars = cells.select(F.col("cell").alias("block"), "sid").unionByName(cells.select(F.col("cell").alias("block"), F.col("leader").alias("sid")).distinct())
-    sided = lambda blocks: blocks.select("block", F.lit(0).alias("side"), "sid")
-    first = materialize(join_blocks(in_blocks(df, key, classes, sided(stars), params, twins), counts, params), "links")
+    leaders = cells.select(F.col("cell").alias("block"), F.lit(0).alias("side"), F.col("leader").alias("sid")).distinct()
+    stars = leaders.unionByName(cells.select(F.col("cell").alias("block"), F.lit(1).alias("side"), "sid"))
+    rows = materialize(star_blocks(in_blocks(df, key, classes, stars, params, twins), counts, params), "stars")
+    first = rows.where("diff is null").select("a", "b")
 
     joined = materialize(connected_components(first, "a", "b"), "components").select(F.col("node").alias("sid"), F.col("component").alias("label"))
-    homes = shared.groupBy("sid").agg(F.first("n").alias("n")).join(joined, "sid", "left").join(cells.select("sid", "cell"), "sid", "left")
-    homes = materialize(homes.select("sid", "n", F.coalesce("label", "sid").alias("label"), F.coalesce("cell", F.xxhash64("sid")).alias("cell")), "homes")
+    # followers in several cells: those near their leader are compared by what they differ in from it
+    split = materialize(cells.groupBy("leader").agg(F.min("cell").alias("l"), F.max("cell").alias("h")).where("l <> h").select("leader"), "split")
+    near = rows.where("diff is not null").select(F.col("a").alias("sid"), F.col("b").alias("leader"), "n", "base", "diff").join(small_side(split), "leader", "left_semi")
+    near = near.join(joined, "sid", "left").join(joined.select(F.col("sid").alias("leader"), F.col("label").alias("lead")), "leader", "left")
+    near = near.withColumn("label", F.coalesce("label", "sid")).withColumn("open", F.col("label") != F.coalesce("lead", "leader")).drop("lead")
+    near = materialize(near, "near")
+    second = near_links(near, percent)
+
+    # everything else by pairs of cells; of a leader's cells the near ones are pure, and its only cell has been joined
+    far = cells.join(small_side(split), "leader", "left_semi").join(near.select("sid"), "sid", "left_anti")
+    apart = in_cells(near.select("sid", "leader"), params).withColumn("done", F.xxhash64("leader"))
+    apart = apart.unionByName(in_cells(far.select("sid", "leader"), params).select("sid", "leader", F.xxhash64(F.lit(1), "cell").alias("cell"), F.lit(None).cast("long").alias("done")))
+    apart = apart.unionByName(cells.join(small_side(split), "leader", "left_anti").withColumn("done", F.xxhash64("leader")))
+    homes = shared.groupBy("sid").agg(F.first("n").alias("n")).join(joined, "sid", "left").join(apart, "sid", "left")
+    homes = materialize(homes.select("sid", "n", F.coalesce("label", "sid").alias("label"), F.coalesce("cell", F.xxhash64("sid")).alias("cell"), F.when(F.col("cell").isNull(), F.xxhash64("sid")).otherwise(F.col("done")).alias("done")), "homes")
     at = shared.select("gram", "sid").join(homes, "sid")
-    spots = at.groupBy("gram", "cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"))
+    spots = at.groupBy("gram", "cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("n_lo"), F.max("n").alias("n_hi"), F.min("done").alias("done"))
     spots = materialize(spots, "spots")
     open_grams = spots.groupBy("gram").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l <> h").select("gram")
     spots = spots.join(open_grams, "gram", "left_semi")
-    other = spots.select("gram", *(F.col(c).alias(f"o_{c}") for c in ("cell", "lo", "hi", "n_lo", "n_hi")))
+    other = spots.select("gram", *(F.col(c).alias(f"o_{c}") for c in ("cell", "lo", "hi", "n_lo", "n_hi", "done")))
     pairs = (
         spots.join(other, "gram")
         .where("cell <= o_cell")
+        .where("done is null or o_done is null or done <> o_done")
         .where("lo <> hi or o_lo <> o_hi or lo <> o_lo")
         .where("cell <> o_cell or lo <> hi")
         .where(100 * F.col("n_hi") >= percent * F.col("o_n_lo"))
@@ -597,10 +693,11 @@ def find_links(df: DataFrame, scanned: DataFrame, classes: DataFrame, twins: fro
         .where(F.col("c") >= _needed(F.col("n")))
     )
     pairs = materialize(pairs.select("cell", "o_cell", F.xxhash64("cell", "o_cell").alias("block")), "cell-pairs")
-    members = pairs.select("block", F.explode(F.array_distinct(F.array("cell", "o_cell"))).alias("cell")).join(homes, "cell").select("block", "sid").distinct()
-    second = materialize(join_blocks(in_blocks(df, key, classes, sided(members), params, twins), counts, params), "links")
-    discard(shared, heads, following, cells, homes, pairs)
-    return first.unionByName(second)
+    members = pairs.select("block", F.explode(F.array_distinct(F.array("cell", "o_cell"))).alias("cell")).join(homes, "cell").select("block", F.lit(0).alias("side"), "sid").distinct()
+    members = materialize(members, "members")
+    third = materialize(join_blocks(in_blocks(df, key, classes, members, params, twins), counts, params), "links")
+    discard(shared, heads, votes, best, following, cells, split, near, homes, pairs, members)
+    return first.unionByName(second).unionByName(third)
 
 
 def _components(classes: DataFrame, links: DataFrame) -> DataFrame:

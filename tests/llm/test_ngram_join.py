@@ -142,3 +142,33 @@ def test_bloom_holds_all_and_little_else(spark):
     for spot in ngram_join._spots(hashes, len(bloom).bit_length() + 2):
         hit = hit & (bloom[spot >> 3] >> (7 - (spot & 7)).astype(np.uint8) & 1).astype(bool)
     assert hit[:2000].all() and hit[2000:].mean() < 0.01
+
+
+def near_copies(many, pool, seed=5):
+    """Copies of a text of 150 words with up to six changed ones; changes come from ``pool`` different ones, or are all new."""
+    rng = random.Random(seed)
+    base, rows = [f"b{i}" for i in range(150)], []
+    changes = [(rng.randrange(150), f"c{i}") for i in range(pool or 6 * many)]
+    for i in range(many):
+        words = list(base)
+        for at, word in rng.sample(changes, i % 7) if pool else changes[6 * i : 6 * i + i % 7]:
+            words[at] = word
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("pool", [0, 25])
+def test_a_group_of_near_copies_is_not_dealt_to_pairs_of_cells(spark, monkeypatch, pool):
+    places, in_blocks = [], ngram_join.in_blocks
+
+    def counted(df, key, classes, blocks, params, twins):
+        places.append(blocks.count())
+        return in_blocks(df, key, classes, blocks, params, twins)
+
+    monkeypatch.setattr(ngram_join, "in_blocks", counted)
+    rows = near_copies(280, pool)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_components(df, ngram_join.JoinParams(block=4)).collect()}
+    assert got == brute(rows, 5, 80)
+    assert len({c for _, c in got.values()}) > 1
+    assert sum(places) < 5 * len(rows)
