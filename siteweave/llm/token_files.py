@@ -10,11 +10,14 @@ The hash is a cascade of bit tables: on each level, keys that alone have a posit
 stored in blocks of 512 bits behind the number of bits set before them, so a single lookup reads a block a level (1.6 on
 the average) and one slot, whatever the number of keys. Many lookups in one part read it once instead.
 
-Files of a task attempt have names of their own; only rows of committed manifests refer to them, so a task run
-again leaves an unused file at worst. Defined results: null texts are documents of the end id alone; a null key
-is a key; repeated rows are stored each, also where one key has more rows than a task should take; a request made twice
-is answered once; texts of any length are stored whole; an empty table has no files; extra columns of any name are not
-carried; an id that the width of the files can't hold is an error.
+Files of a task attempt have names of their own: a shard, and beside it the manifest of its documents, written by the task
+itself; only the row that a finished task returns for its shard refers to them, so a task run again leaves unused files at
+worst. (Spark's own writer starts three ``chmod`` processes a file on a local file system.)
+
+Defined results: null texts are documents of the end id alone; a null key is a key; repeated rows are stored each, also
+where one key has more rows than a task should take; a request made twice is answered once; texts of any length are
+stored whole; an empty table has no files; extra columns of any name are not carried; an id that the width of the files
+can't hold is an error.
 """
 
 from __future__ import annotations
@@ -25,11 +28,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Output, RangeReader, filesystem, map_arrow, materialize, parts_for, work_path
+from .common import Output, RangeReader, filesystem, map_arrow, parts_for, work_path
 from .tokens import vocabulary_size, word_encoder
 
 MAGIC = b"TOKIDS"
@@ -161,7 +165,7 @@ class IndexPart:
 
 @dataclass(frozen=True)
 class TokenStore:
-    """A written store: its folder, the manifest of documents, and small lists with an entry per file."""
+    """A written store: its folder, the manifest of documents (key, occurrence, shard, at, n_tokens), and small lists with an entry per file."""
 
     folder: str
     key: str
@@ -174,6 +178,11 @@ class TokenStore:
     size: int  # bytes of ids
 
 
+def _listing(shard: str) -> str:
+    """The file with the manifest rows of a shard."""
+    return shard.removesuffix(".bin") + ".parquet"
+
+
 def _hashed(df: DataFrame, key: str, parts: int) -> DataFrame:
     """Adds the key's hash, its fingerprint (an independent hash) and its index part."""
     cols = [F.col(key).isNull(), F.col(key), F.col("occurrence")]
@@ -192,14 +201,17 @@ def write(df: DataFrame, tokenizer: str, end_id: int, vocabulary: int | None = N
     names = [key, "occurrence", "shard", "at", "n_tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, out, at, last, occurrence = word_encoder(tokenizer, special_as_text).encode, None, 0, object(), 0
+        encode, out, at, rows, last, occurrence = word_encoder(tokenizer, special_as_text).encode, None, 0, 0, object(), 0
         for batch in batches:
             seconds, places, counts = [], [], []
             for k, text in zip(batch.column(0), batch.column(1), strict=True):
+                k = k.as_py()
                 if out is None:
                     out = Output(folder, f"shard-{TaskContext.get().partitionId():06d}", ".bin")
                     out.write(MAGIC + struct.pack("<H", width))
-                k = k.as_py()
+                    disk, path = filesystem(folder)
+                    fields = [pa.field(names[0], batch.schema.field(0).type), *(pa.field(n, pa.string() if n == "shard" else pa.int64()) for n in names[1:])]
+                    listing, first = pq.ParquetWriter(f"{path}/{_listing(out.name)}", pa.schema(fields), filesystem=disk), k
                 occurrence = occurrence + 1 if k == last else 0
                 last = k
                 ids = np.frombuffer(encode(text.as_py() or "") + end, "<u4")
@@ -210,24 +222,29 @@ def write(df: DataFrame, tokenizer: str, end_id: int, vocabulary: int | None = N
                 places.append(at)
                 counts.append(len(ids))
                 at += len(ids)
-            shard = pa.array([out.name] * batch.num_rows, pa.string()) if out else pa.array([], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(seconds, pa.int64()), shard, pa.array(places, pa.int64()), pa.array(counts, pa.int64())], names)
+            if counts:
+                shard = pa.array([out.name] * batch.num_rows, pa.string())
+                listing.write_batch(pa.RecordBatch.from_arrays([batch.column(0), pa.array(seconds, pa.int64()), shard, pa.array(places, pa.int64()), pa.array(counts, pa.int64())], schema=listing.schema))
+                rows += batch.num_rows
         if out is not None:
             out.close()
+            listing.close()
+            ends = pa.array([first, last], fields[0].type)
+            yield pa.RecordBatch.from_arrays([pa.array([out.name]), pa.array([at], pa.int64()), pa.array([rows], pa.int64()), ends[:1], ends[1:]], ["shard", "tokens", "n", "first", "last"])
 
     kind = df.schema[key].dataType.simpleString()
     # the row's own number and the text's hash split a key of very many rows
     by = [F.col(key).asc_nulls_first(), F.xxhash64("text"), F.monotonically_increasing_id()]
     ordered = df.select(key, "text").repartitionByRange(*by).sortWithinPartitions(F.col(key).asc_nulls_first(), "text")
-    manifest = materialize(map_arrow(ordered, run, f"`{key}` {kind}, occurrence long, shard string, at long, n_tokens long"), "manifest")
+    written = map_arrow(ordered, run, f"shard string, tokens long, n long, first {kind}, last {kind}")
     shards, bases, total, rows, ends = [], {}, 0, 0, []
-    place = F.struct(F.col(key).isNotNull(), F.col(key))
-    per_shard = manifest.groupBy("shard").agg(F.sum("n_tokens"), F.count("*"), F.min(place), F.max(place))
-    for shard, tokens, n, first, last in sorted(map(tuple, per_shard.collect()), key=lambda r: r[0]):  # a row per file
+    for shard, tokens, n, first, last in sorted(map(tuple, written.collect()), key=lambda r: r[0]):  # a row per file
         shards.append(shard)
         bases[shard] = total
         total, rows = total + tokens, rows + n
-        ends.append((first[1], last[1]))
+        ends.append((first, last))
+    schema = f"`{key}` {kind}, occurrence long, shard string, at long, n_tokens long"
+    manifest = spark.read.schema(schema).parquet(*(f"{folder}/{_listing(s)}" for s in shards)) if shards else spark.createDataFrame([], schema)
     manifest = _numbered(manifest, key, shards, ends)
     n_parts = max(1, -(-rows // KEYS_PER_PART))
     parts = _write_index(_hashed(manifest, key, n_parts), folder, shards)
@@ -274,7 +291,7 @@ def _write_index(hashed: DataFrame, folder: str, shards: list[str]) -> dict[int,
         return pa.table({"part": pa.array([part], pa.int32()), "name": pa.array([out.name])})
 
     made = hashed.select("part", "h", "mark", "shard", "at", "n_tokens").groupBy("part").applyInArrow(build, "part int, name string")
-    return {r.part: r.name for r in materialize(made, "index").collect()}  # a row per file
+    return {r.part: r.name for r in made.collect()}  # a row per file
 
 
 def locate(store: TokenStore, keys: DataFrame) -> DataFrame:

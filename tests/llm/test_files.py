@@ -1,11 +1,13 @@
 import base64
 import hashlib
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from siteweave.llm import token_files, warc
 from siteweave.llm.tokens import word_encoder, word_tokenizer_path
+from siteweave.session import shared_dir
 
 
 def test_perfect_hash():
@@ -52,6 +54,30 @@ def test_one_key_over_many_shards(spark):
     assert [r.start for r in sorted(found, key=lambda r: r.start)][-1] < store.size // store.width
 
 
+def test_tasks_write_the_manifest_beside_their_shards(spark):
+    rows = [(i, f"text {i}") for i in range(60)] + [(None, None), (None, "none")]
+    root = Path(shared_dir(spark).removeprefix("file://")) / "siteweave"
+    before = set(root.glob("*"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store = token_files.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), word_tokenizer_path(), 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # no table of Spark's writer, which starts a process three times a file
+    assert [p.name for p in set(root.glob("*")) - before] == [store.folder.rsplit("/", 1)[1]]
+    names = [p.name for p in (root / store.folder.rsplit("/", 1)[1]).iterdir()]
+    listings = [s.removesuffix(".bin") + ".parquet" for s in store.shards]
+    assert len(store.shards) > 1 and sorted(names) == sorted([*store.shards, *listings, *store.parts.values()])
+    assert sorted(f.rsplit("/", 1)[1] for f in store.manifest.inputFiles()) == sorted(listings)
+    # what an attempt left unfinished is not read
+    (root / store.folder.rsplit("/", 1)[1] / "shard-000000-0123456789ab.parquet").write_bytes(b"PAR1")
+    found = token_files.read(store, token_files.locate(store, store.manifest.select("doc_id", "occurrence"))).collect()
+    encode = word_encoder(word_tokenizer_path()).encode
+    assert sorted((str(r.doc_id), bytes(r.ids)) for r in found) == sorted((str(k), encode(t or "") + b"\2\0\0\0") for k, t in rows)
+    at = sorted((r.start, r.n_tokens) for r in found)
+    assert [s for s, _ in at] == [sum(n for _, n in at[:i]) for i in range(len(at))] and sum(n for _, n in at) * store.width == store.size
+
+
 def plain(rows):
     first, out = {}, {}
     for i, _, h in sorted(rows, key=lambda r: r[0]):
