@@ -24,6 +24,14 @@ def against_sql(spark, folder, name: str, pages: list[tuple[int, str, str]]) ->
 LINK = '<a href="/link">x</a>'
 
 
+@pytest.mark.parametrize("name", ["listing_chunks", "analyze_twice"])
+def test_long_bodies(spark, tmp_path, name):
+    """Links in the part that two chunks share, across the place where chunks meet, one in each of two chunks, and in the tail."""
+    bodies = [LINK, LINK * 2, "y" * 99_500 + LINK + "y" * 5_000, "y" * 99_500 + LINK * 2 + "y" * 5_000, LINK + "y" * 150_000 + LINK]
+    bodies += ["y" * 198_990 + LINK * 2 + "y" * 50_000, LINK + "y" * 199_500 + LINK, LINK * 2 + "y" * 950_000 + LINK]
+    against_sql(spark, tmp_path, name, [(i, f"https://e.com/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)])
+
+
 def test_references_without_end(spark, tmp_path):
     bodies = ["a &amp b", "a&amp</b>", "&amp;amp; &lt &lt;x&gt; &copy &copy; &eacute; &#39; & &&amp;", "&amp;lt; &notit;"]
     against_sql(spark, tmp_path, "minify_body_dom", [(i, "u", f"<body><b>{b}</b></body>") for i, b in enumerate(bodies)])
