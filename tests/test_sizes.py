@@ -46,3 +46,25 @@ def held(f, *columns) -> int:
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     return peak
+
+
+@pytest.mark.parametrize("name", ["parse_html", "parse_ruled", "parse_links"])
+def test_objects_of_a_slice_alone(name):
+    """A batch of eight times the pages takes no more Python objects at once."""
+    f = getattr(html, name).__wrapped__
+    batch = lambda n: [pa.array([PAGE] * n)] + ([pa.array(["https://e.com/"] * n)] if name == "parse_links" else [])
+    assert held(f, *batch(2400)) < 4 * held(f, *batch(300))
+
+
+def test_slices():
+    sizes = [0, 1, 63, 64, 65, 200]
+    assert [[n for _, n in html.slices(pa.array(["x"] * k, pa.string()))] for k in sizes] == [[], [1], [63], [64], [64, 1], [64, 64, 64, 8]]
+    big = "x" * html.SLICE_BYTES
+    assert list(html.slices(pa.array([None, big, big + big, "x", None], pa.string()))) == [(0, 2), (2, 1), (3, 2)]
+    assert html.parse_html.__wrapped__(pa.array([], pa.string())).to_pylist() == []
+
+
+def test_links_are_parsed_and_resolved_once(spark):
+    pages = spark.createDataFrame([("https://e.com/a", PAGE)], "url string, html string")
+    for df in (frontier.page_edges(pages, follow_all=True), engine.html_functions.page_links(pages, "url")):
+        assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
