@@ -64,6 +64,12 @@ def test_slices():
     assert html.parse_html.__wrapped__(pa.array([], pa.string())).to_pylist() == []
 
 
+def test_elements_of_slices(spark):
+    pages = spark.createDataFrame([(i, PAGE if i % 3 else None) for i in range(300)], "page_id long, html string")
+    got = {(r.page_id, r.pos, r.end, r.tag, tuple(sorted(r.attrs.items())), r.text_join) for r in html.elements(pages.coalesce(1)).collect()}
+    assert got == {(i, e["pos"], e["end"], e["tag"], tuple(sorted(e["attrs"])), e["text_join"]) for i in range(300) if i % 3 for e in html.element_rows(PAGE)}
+
+
 def test_links_are_parsed_and_resolved_once(spark):
     pages = spark.createDataFrame([("https://e.com/a", PAGE)], "url string, html string")
     for df in (frontier.page_edges(pages, follow_all=True), engine.html_functions.page_links(pages, "url")):
