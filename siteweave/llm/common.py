@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-from ..session import ship, work_path
+from ..session import filesystem, ship, work_path
 from ..session import written as materialize
 
 __all__ = ["BROADCAST_BYTES", "BROADCAST_ROWS", "Output", "RangeReader", "discard", "filesystem", "let", "map_arrow", "materialize", "parts_for", "small_side", "table", "work_path"]
@@ -66,17 +66,6 @@ def parts_for(spark: SparkSession, size: int) -> int:
     return max(-(-size // READ_BYTES), min(spark.sparkContext.defaultParallelism, -(-size // (READ_BYTES >> 5)), 256), 1)
 
 
-def filesystem(uri: str):
-    """(pyarrow filesystem, path) for any URI that pyarrow knows: file, hdfs, s3, gs, or a plain path."""
-    from pyarrow import fs
-
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:") :]
-    return fs.FileSystem.from_uri(uri)
-
-
 class Output:
     """A file of a task attempt. Its name is unique to the attempt; only committed manifest rows refer to it."""
 

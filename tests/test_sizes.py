@@ -74,3 +74,14 @@ def test_links_are_parsed_and_resolved_once(spark):
     pages = spark.createDataFrame([("https://e.com/a", PAGE)], "url string, html string")
     for df in (frontier.page_edges(pages, follow_all=True), engine.html_functions.page_links(pages, "url")):
         assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+
+
+def test_csv_files_are_read_by_name(spark, tmp_path):
+    links = [("https://a", None, None, None), ("https://b", 1, 'say "x", y', "/2"), ("https://b", 0, "", "/1"), ("https://b", 2, "Title", "URL")]
+    df = spark.createDataFrame(links, "careers_url string, pos int, title string, url string")
+    path = f"file://{tmp_path}/csv"
+    for _ in range(2):  # the second time replaces the first
+        files = store.write_links_csv(df, path)
+    assert sorted(f.relative_to(tmp_path / "csv").name for f in (tmp_path / "csv").rglob("*") if f.is_file()) == ["part-00000.csv"] * 2
+    got = sorted((r.heads, r.title or "", r.url or "") for r in store.read_links_csv(files).collect())
+    assert got == [(1, "", ""), (1, "", "/1"), (1, "Title", "URL"), (1, 'say "x", y', "/2")]
