@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..config import PipelineConfig, RetryPolicy, parse_headers
@@ -174,6 +175,8 @@ class CompletionModel:
         return answer["choices"][0]["message"].get("content") or "{}", usage_of(answer.get("usage"))
 
 
+#: Prompts that are taken out of an Arrow batch at once.
+BATCH = 64
 LISTING_SYSTEM, DETAILS_SYSTEM = "You read markup of career pages and answer in JSON.", "You read job descriptions and answer in JSON."
 
 
@@ -184,22 +187,35 @@ def listing_responses(chunks: DataFrame, model: Callable[[], Model] = OfflineLis
     (at most the chunk cap); pages run in parallel.
     """
 
-    def run(pages: pd.DataFrame) -> pd.DataFrame:
-        lm, used, rows = model(), 0, []
-        for i, row in enumerate(pages.sort_values("chunk_idx").itertuples(index=False)):
-            if used >= budget:
-                break
-            if i and pause_ms:
-                time.sleep(pause_ms / 1000)
-            out = invoke(lm, LISTING_SYSTEM, row.prompt, "listing", policy)
-            if out.value is not None:
-                out.value["total_token_count"] = out.usage.total_tokens or 0
-                used += out.value["total_token_count"]
-            rows.append((getattr(row, key), row.chunk_idx, json.dumps(out.value) if out.value is not None else None, out.error_kind, out.attempts, out.all_calls_tokens))
-        return pd.DataFrame(rows, columns=[key, "chunk_idx", "response", "error_kind", "attempts", "all_calls_tokens"])
-
     kind = chunks.schema[key].dataType.simpleString()
-    called = chunks.select(key, "chunk_idx", "prompt").groupBy(key).applyInPandas(run, f"{key} {kind}, chunk_idx int, response string, error_kind string, attempts int, all_calls_tokens long")
+    schema = f"{key} {kind}, chunk_idx int, response string, error_kind string, attempts int, all_calls_tokens long"
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, lm, used, place = None, None, 0, 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part, rows, taken = batch.slice(at, BATCH), [], []
+                for i, (k, chunk_idx, prompt) in enumerate(zip(*(c.to_pylist() for c in part.columns))):
+                    if lm is None or k != page:
+                        page, lm, used, place = k, model(), 0, 0
+                    if used >= budget:
+                        continue
+                    if place and pause_ms:
+                        time.sleep(pause_ms / 1000)
+                    place += 1
+                    out = invoke(lm, LISTING_SYSTEM, prompt, "listing", policy)
+                    if out.value is not None:
+                        out.value["total_token_count"] = out.usage.total_tokens or 0
+                        used += out.value["total_token_count"]
+                    taken.append(i)
+                    rows.append((chunk_idx, json.dumps(out.value) if out.value is not None else None, out.error_kind, out.attempts, out.all_calls_tokens))
+                columns = list(zip(*rows)) or [[]] * 5
+                kinds = (pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(taken, pa.int64())), *(pa.array(list(c), t) for c, t in zip(columns, kinds))], names)
+
+    # pages follow each other in a task, so that no group of its own is made for each
+    called = chunks.select(key, "chunk_idx", "prompt").repartition(key).sortWithinPartitions(key, "chunk_idx").mapInArrow(run, schema)
     return called.selectExpr(key, "chunk_idx", f"from_json(response, '{LISTING_STRUCT}') AS r", "error_kind", "attempts", "all_calls_tokens").select(key, "chunk_idx", "r.*", "error_kind", "attempts", "all_calls_tokens")
 
 
