@@ -23,10 +23,9 @@ def chunks(df: DataFrame, text: str, key: str, size: int = 100_000, overlap: int
     With ``lossy_tail`` the text beyond the last chunk's end is not covered (nor beyond ``max_chunks``); without it the last
     chunk runs to the end of the text.
     """
-    n = F.length(F.col("_t"))
+    n = F.length(text)
     starts = F.transform(F.slice(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(size)), 1, max_chunks), lambda x: F.when(x > 0, x - overlap).otherwise(x))
-    # an empty text has no starts; a filter on the text would have a parsed one computed twice
-    rows = df.select(key, F.col(text).alias("_t")).select(key, "_t", F.when(n > 0, starts).alias("_starts")).select(key, "_t", F.size("_starts").alias("_k"), F.posexplode("_starts").alias("chunk_idx", "_s"))
+    rows = df.where(F.length(text) > 0).select(key, F.col(text).alias("_t"), F.size(starts).alias("_k"), F.posexplode(starts).alias("chunk_idx", "_s"))
     length = F.lit(size) if lossy_tail else F.when(F.col("chunk_idx") == F.col("_k") - 1, F.length("_t")).otherwise(F.lit(size))
     return rows.select(key, "chunk_idx", F.col("_s").cast("long").alias("start"), F.substring(F.col("_t"), F.col("_s") + 1, length).alias("chunk"))
 
